@@ -305,29 +305,37 @@ def nearest_point(targets: DataFrame, points: DataFrame, cell_degrees: float) ->
         size *= 2
 
 
-def default_output_grid(spark, src: SourceGrid, steps: int = 20) -> DataFrame:
+def default_output_grid(geometries: DataFrame, key: str, projection: Projection, steps: int = 20) -> DataFrame:
     """Size and bounds of the Web Mercator raster a source gets when no target is given.
 
-    Points along the outline are transformed; their bounds and a cell size that keeps the number of cells along
-    the diagonal give the grid: (left, right, bottom, top, pixel, width, height).
+    ``geometries(key, left, top, px, py, height, width)`` in native coordinates. Points along the outline are
+    transformed; their bounds and a cell size that keeps the number of cells along the diagonal give the grid:
+    (key, left, right, bottom, top, pixel, height, width). The outline is a fixed number of points per geometry.
     """
-    part = F.col("id") / F.lit(float(steps))
-    w, h = src.px * src.width, src.py * src.height
-    sides = [
-        (part * w + src.left, F.lit(src.top)),
-        (part * w + src.left, F.lit(src.top - h)),
-        (F.lit(src.left), F.lit(src.top) - part * h),
-        (F.lit(src.left + w), F.lit(src.top) - part * h),
-    ]
-    points = F.array(*(F.struct(x.alias("nx"), y.alias("ny")) for x, y in sides))
-    outline = spark.range(steps + 1).select(F.inline(points))
-    mx, my = transform(src.projection, WEB, F.col("nx"), F.col("ny"))
-    bounds = outline.select(mx.alias("x"), my.alias("y")).agg(
+    c = F.col
+    w, h = c("px") * c("width"), c("py") * c("height")
+    x0, y0 = transform(projection, WEB, c("left"), c("top"))
+    x1, y1 = transform(projection, WEB, c("left") + w, c("top") - h)
+    cells_across = F.sqrt(c("width") * c("width") + c("height") * c("height"))
+    pixel = F.sqrt(F.pow(x1 - x0, 2) + F.pow(y1 - y0, 2)) / cells_across
+    side = lambda t: F.array(
+        F.struct((c("left") + w * t).alias("nx"), c("top").alias("ny")),
+        F.struct((c("left") + w * t).alias("nx"), (c("top") - h).alias("ny")),
+        F.struct(c("left").alias("nx"), (c("top") - h * t).alias("ny")),
+        F.struct((c("left") + w).alias("nx"), (c("top") - h * t).alias("ny")),
+    )
+    parts = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: side(i / float(steps)))
+    outline = geometries.select(key, pixel.alias("pixel"), F.inline(F.flatten(parts)))
+    mx, my = transform(projection, WEB, c("nx"), c("ny"))
+    bounds = outline.select(key, "pixel", mx.alias("x"), my.alias("y")).groupBy(key, "pixel").agg(
         F.min("x").alias("left"), F.max("x").alias("right"), F.min("y").alias("bottom"), F.max("y").alias("top")
     )
-    x0, y0 = transform(src.projection, WEB, F.lit(src.left), F.lit(src.top))
-    x1, y1 = transform(src.projection, WEB, F.lit(src.left + w), F.lit(src.top - h))
-    diagonal = F.sqrt(F.pow(x1 - x0, 2) + F.pow(y1 - y0, 2))
-    pixel = diagonal / float((src.width**2 + src.height**2) ** 0.5)
-    size = lambda a, b: F.floor((F.col(b) - F.col(a)) / F.col("pixel") + 0.5).cast("int")
-    return bounds.withColumn("pixel", pixel).withColumn("width", size("left", "right")).withColumn("height", size("bottom", "top"))
+    size = lambda a, b: F.floor((c(b) - c(a)) / c("pixel") + 0.5).cast("int")
+    return bounds.withColumn("width", size("left", "right")).withColumn("height", size("bottom", "top"))
+
+
+def map_statistics(mapping: DataFrame) -> DataFrame:
+    """Entries and megabytes of a stored grid map per source and over all (source_id null); four bytes an entry."""
+    return mapping.rollup("source_id").agg(
+        F.count(F.lit(1)).alias("entries"), (F.count(F.lit(1)) * 4 / 1048576.0).alias("size_mb")
+    )
