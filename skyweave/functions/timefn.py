@@ -23,9 +23,10 @@ def parse_minute(text: Column) -> Column:
 
 
 def normalize_timestamp(text: Column, length: int = 14) -> Column:
+    """Stamp without underscores: 14 characters (a 12-digit one gets zero seconds) or the first 12."""
     digits = F.replace(text, F.lit("_"), F.lit(""))
     if length == 14:
-        return F.when(F.length(digits) == 12, F.concat(digits, F.lit("00"))).otherwise(F.substring(digits, 1, 14))
+        return F.substring(F.regexp_replace(digits, r"^(.{12})$", "$100"), 1, 14)
     if length == 12:
         return F.substring(digits, 1, 12)
     return digits
@@ -92,7 +93,7 @@ def stamp_from_filename(name: Column, source: Column) -> Column:
         .when(source == "imgw", polish)
         .otherwise(digits)
     )
-    return F.when(found != "", found)
+    return F.nullif(found, F.lit(""))
 
 
 def srd_stamp(parts: Column) -> Column:

@@ -34,7 +34,7 @@ def _standard(scans: DataFrame, scaling_attrs: Column, extent: Column, ts14: Col
         scans.withColumn("scaling", s)
         .withColumn("extent", extent)
         .withColumn("ts14", ts14)
-        .withColumn("ts", T.parse_timestamp(ts14))
+        .withColumn("ts", T.parse_timestamp(F.col("ts14"), T.FULL))
         .withColumn("product", product)
         .withColumn("quantity", quantity)
         .withColumn("units", A.quantity_units(quantity))

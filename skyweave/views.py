@@ -165,6 +165,13 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog that goes with the landed scans: (source, ts, timestamp)."""
+    v = F.col("vec_id")
+    ts = slot_time(F.floor(v / 6).cast("int"))
+    return table(spark, sf_dir, "embeddings").select(source_name(v % 6).alias("source"), ts.alias("ts"), stamp(ts).alias("timestamp"))
+
+
 def srd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text-grid scans (path, content), one per vector: eight levels, broken lines, some bodies short or long."""
     v = F.col("vec_id")
