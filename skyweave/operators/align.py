@@ -115,7 +115,7 @@ def existing_newest(candidates: DataFrame, catalog: DataFrame, count: int) -> Da
 def latest_only(catalog: DataFrame, requested: DataFrame, source: str = LATEST_ONLY_SOURCE) -> DataFrame:
     """The latest scan of an archive-less source, if the requested stamps include it to the minute."""
     newest = catalog.where(F.col("source") == source).agg(F.max("ts14").alias("ts14")).where("ts14 is not null")
-    wanted = requested.select(F.substring("ts14", 1, 12).alias("_minute")).distinct()
+    wanted = requested.select(F.substring("ts14", 1, 12).alias("_minute"))
     return newest.withColumn("_minute", F.substring("ts14", 1, 12)).join(wanted, "_minute", "left_semi").drop("_minute")
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.colour import coverage_rgba
-from ..functions.proj import Grid, mercator
-from .regrid import SourceGrid
+from ..functions.proj import Grid
+from .regrid import unfold
 
 
 def covered(raw: Column, source: Column) -> Column:
@@ -29,21 +29,15 @@ def placed_mask(mask: DataFrame, extent: tuple[float, float, float, float], shap
     """
     src = Grid.of_shape(extent, *shape)
     row, col = F.col("row"), F.col("col")
-    first = lambda lo, origin, step: F.floor((lo - origin) / step - 0.5).cast("int")
-    last = lambda hi, origin, step: F.ceil((hi - origin) / step - 0.5).cast("int")
-    c0 = F.greatest(first(col * src.dx + src.west, dst.west, dst.dx), F.lit(0))
-    c1 = F.least(last((col + 1) * src.dx + src.west, dst.west, dst.dx), F.lit(dst.width - 1))
-    south_of = lambda at: dst.north - src.north + at * src.dy
-    r0 = F.greatest(F.floor(south_of(row) / dst.dy - 0.5).cast("int"), F.lit(0))
-    r1 = F.least(F.ceil(south_of(row + 1) / dst.dy - 0.5).cast("int"), F.lit(dst.height - 1))
+    low = lambda at, step: F.floor(at / step - 0.5).cast("int")
+    high = lambda at, step: F.ceil(at / step - 0.5).cast("int")
+    east_of = lambda at: at * src.dx + (src.west - dst.west)
+    south_of = lambda at: at * src.dy + (dst.north - src.north)
     x, y = dst.centre(F.col("dst_row"), F.col("dst_col"))
-    return (
-        mask.withColumn("dst_row", F.explode(F.when(r0 <= r1, F.sequence(r0, r1))))
-        .where(F.floor((F.lit(src.north) - y) / src.dy) == row)
-        .withColumn("dst_col", F.explode(F.when(c0 <= c1, F.sequence(c0, c1))))
-        .where(F.floor((x - src.west) / src.dx) == col)
-        .drop("row", "col")
-    )
+    rows = unfold(mask, "dst_row", low(south_of(row), dst.dy), high(south_of(row + 1), dst.dy), dst.height)
+    rows = rows.where(F.floor((F.lit(src.north) - y) / src.dy) == row)
+    cols = unfold(rows, "dst_col", low(east_of(col), dst.dx), high(east_of(col + 1), dst.dx), dst.width)
+    return cols.where(F.floor((x - src.west) / src.dx) == col).drop("row", "col")
 
 
 def union_mask(placed: DataFrame) -> DataFrame:

@@ -17,8 +17,15 @@ def max_value() -> Column:
 
 
 def guarded_average() -> Column:
-    """Mean; the median where the sources disagree by more than the outlier limit."""
-    return F.when(F.stddev_pop("dbz") > OUTLIER_STD, F.median("dbz")).otherwise(F.avg("dbz"))
+    """Mean; the median where the sources disagree by more than the outlier limit.
+
+    The spread is compared as ``n * sum(x^2) - sum(x)^2 > limit^2 * n^2``: unlike a running variance this gives the
+    same answer in whatever order partial sums meet, also when the spread lies exactly on the limit.
+    """
+    x = F.col("dbz").cast("double")
+    n, total, squares = F.count("dbz"), F.sum(x), F.sum(x * x)
+    spread = n * squares - total * total > OUTLIER_STD**2 * n * n
+    return F.when(spread, F.median("dbz")).otherwise(F.avg("dbz"))
 
 
 def first_in_priority() -> Column:

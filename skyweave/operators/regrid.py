@@ -138,18 +138,20 @@ def scatter(cells: DataFrame, src: SourceGrid, dst: Grid) -> DataFrame:
     last_col = F.ceil((x_of(edge_x(col + 1)) - dst.west) / dst.dx - 0.5).cast("int")
     first_row = F.floor((F.lit(dst.north) - y_of(edge_y(row))) / dst.dy - 0.5).cast("int")
     last_row = F.ceil((F.lit(dst.north) - y_of(edge_y(row + 1))) / dst.dy - 0.5).cast("int")
-    held = lambda first, last, n: (F.greatest(first, F.lit(0)), F.least(last, F.lit(n - 1)))
-    c0, c1 = held(first_col, last_col, dst.width)
-    r0, r1 = held(first_row, last_row, dst.height)
     reach_row, reach_col = source_cell(src, dst, F.col("dst_row"), F.col("dst_col"))
     # a row depends on dst_row only and a column on dst_col only, so each filter runs before the next unfolding
-    return (
-        cells.withColumn("dst_row", F.explode(F.when(r0 <= r1, F.sequence(r0, r1))))
-        .where(reach_row == row)
-        .withColumn("dst_col", F.explode(F.when(c0 <= c1, F.sequence(c0, c1))))
-        .where(reach_col == col)
-        .drop("row", "col")
-    )
+    rows = unfold(cells, "dst_row", first_row, last_row, dst.height).where(reach_row == row)
+    return unfold(rows, "dst_col", first_col, last_col, dst.width).where(reach_col == col).drop("row", "col")
+
+
+def unfold(df: DataFrame, name: str, first: Column, last: Column, n: int) -> DataFrame:
+    """One row per index from ``first`` to ``last``, both held inside 0..n-1.
+
+    A range that lies outside leaves one index at the border; the caller's exact filter removes it. The ends are
+    columns of their own, so that they are worked out once.
+    """
+    ends = df.withColumns({"_first": F.greatest(F.lit(0), F.least(F.lit(n - 1), first)), "_last": F.least(F.lit(n - 1), last)})
+    return ends.withColumn(name, F.explode(F.sequence("_first", F.greatest("_first", "_last")))).drop("_first", "_last")
 
 
 def scatter_all(cells: DataFrame, sources: dict[int, SourceGrid], dst: Grid) -> DataFrame:
@@ -164,19 +166,14 @@ def scatter_all(cells: DataFrame, sources: dict[int, SourceGrid], dst: Grid) ->
     x1 = mercator(left + (col + 1) * px, F.lit(0.0))[0]
     y0 = mercator(F.lit(0.0), top - row * py)[1]
     y1 = mercator(F.lit(0.0), top - (row + 1) * py)[1]
-    c0 = F.greatest(F.floor((x0 - dst.west) / dst.dx - 0.5).cast("int"), F.lit(0))
-    c1 = F.least(F.ceil((x1 - dst.west) / dst.dx - 0.5).cast("int"), F.lit(dst.width - 1))
-    r0 = F.greatest(F.floor((F.lit(dst.north) - y0) / dst.dy - 0.5).cast("int"), F.lit(0))
-    r1 = F.least(F.ceil((F.lit(dst.north) - y1) / dst.dy - 0.5).cast("int"), F.lit(dst.height - 1))
+    first_col = F.floor((x0 - dst.west) / dst.dx - 0.5).cast("int")
+    last_col = F.ceil((x1 - dst.west) / dst.dx - 0.5).cast("int")
+    first_row = F.floor((F.lit(dst.north) - y0) / dst.dy - 0.5).cast("int")
+    last_row = F.ceil((F.lit(dst.north) - y1) / dst.dy - 0.5).cast("int")
     lat = dst.centre_lonlat(F.col("dst_row"), F.lit(0))[1]
     lon = dst.centre_lonlat(F.lit(0), F.col("dst_col"))[0]
-    return (
-        cells.withColumn("dst_row", F.explode(F.when(r0 <= r1, F.sequence(r0, r1))))
-        .where(F.floor((top - lat) / py) == row)
-        .withColumn("dst_col", F.explode(F.when(c0 <= c1, F.sequence(c0, c1))))
-        .where(F.floor((lon - left) / px) == col)
-        .drop("row", "col")
-    )
+    rows = unfold(cells, "dst_row", first_row, last_row, dst.height).where(F.floor((top - lat) / py) == row)
+    return unfold(rows, "dst_col", first_col, last_col, dst.width).where(F.floor((lon - left) / px) == col).drop("row", "col")
 
 
 def _by_id(sid: Column, values: dict[int, float]) -> Column:

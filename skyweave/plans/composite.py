@@ -11,6 +11,7 @@ from ..dimensions import LATEST_ONLY_SOURCE, MIN_CORE_SOURCES, REPROCESS_COUNT,
 from ..functions.proj import Grid
 from ..operators import align, health, mosaic
 from ..operators.regrid import SourceGrid
+from ..operators.strips import block_mosaic, strips
 from ..sources import scans as S
 from ..sources import sinks
 from .placing import place
@@ -85,6 +86,9 @@ def backload(
 def _mosaic(scans, chosen, availability, grids, dst, strategy, small: bool) -> Composite:
     wanted = F.broadcast(chosen) if small else chosen
     picked = scans.join(wanted, ["source", "ts"])
+    if strategy in ("max", "priority") and all(g.projection.family == "longlat" for g in grids.values()):
+        merged = block_mosaic(strips(picked, ["source", "slot"]), grids, dst, ["slot"], strategy)
+        return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells))
     cells = S.cells(picked, ["source", "slot"])
     placed = place(cells, grids, dst)
     if strategy == "priority":

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import views
 from ..dimensions import SOURCE_NAMES
+from ..operators import strips
 from ..plans import composite, fetch, masks, report
 from ..sources import scans as S
 from . import ctes
@@ -23,7 +24,7 @@ def grids():
 
 def standard_scans(spark, sf_dir):
     landed = views.landed(spark, sf_dir)
-    keep = ["source", "ts", "ts14", "ts_raw", "width", "raw", "is_u8", "scaling"]
+    keep = ["source", "ts", "ts14", "ts_raw", "height", "width", "raw", "is_u8", "scaling"]
     parts = [reader(landed.where(F.col("source") == name)).select(keep) for name, reader in S.READERS.items()]
     out = parts[0]
     for part in parts[1:]:
@@ -60,6 +61,17 @@ def plan_backload(spark, sf_dir):
     return made.statistics.select(minute_text("slot").alias("slot"), "valid_cells", "total_cells", r6("coverage_percent").alias("coverage_percent"))
 
 
+@query(
+    "a1_strip_mosaic",
+    f"""WITH {PLACED} SELECT strftime(any_value(ts),'{FMT}') AS slot, dst_row, dst_col, round(max(dbz), 6) AS dbz FROM placed GROUP BY placed.slot, dst_row, dst_col""",
+)
+def a1_strip_mosaic(spark, sf_dir):
+    """Max mosaic of all slots with raster lines, not cells, in the shuffle."""
+    lines = strips.strips(standard_scans(spark, sf_dir).withColumnRenamed("ts", "slot"), ["slot", "source"])
+    made = strips.block_mosaic(lines, grids(), views.small_target(), ["slot"], "max", block_lines=4)
+    return made.select(minute_text("slot").alias("slot"), "dst_row", "dst_col", r6("dbz").alias("dbz"))
+
+
 @query(
     "plan_fetch",
     f"""WITH {PLACED}, stored AS (SELECT DISTINCT slot FROM landed WHERE slot % 3 = 0)

@@ -352,7 +352,8 @@ SELECT ts14 FROM l WHERE substr(ts14,1,12) IN (SELECT DISTINCT strftime(ts + to_
 def j12_latest_only_source(spark, sf_dir):
     catalog = views.scan_catalog(spark, sf_dir).withColumn("ts14", T.stamp(F.col("ts")))
     around = F.transform(F.sequence(F.lit(-60), F.lit(60)), lambda d: F.col("ts") + F.make_dt_interval(mins=d))
-    requested = catalog.where("source <> 'arso'").select(F.explode(around).alias("t")).select(T.stamp(F.col("t")).alias("ts14"))
+    minutes = catalog.where("source <> 'arso'").select("ts").distinct().select(F.explode(around).alias("t")).distinct()
+    requested = minutes.select(T.stamp(F.col("t")).alias("ts14"))
     return align.latest_only(catalog, requested)
 
 
