@@ -72,6 +72,11 @@ def merge(cells: DataFrame, keys: list[str], name: str = "max", min_sources: int
     if min_sources > 1:
         valid = with_enough_sources(valid, keys, min_sources)
     merged = valid.groupBy(*by_cell).agg(strategy(name)().cast("double").alias("dbz"))
+    return finish(merged, keys, name)
+
+
+def finish(merged: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """What a strategy does after the aggregate: average and weighted are clipped and lose isolated cells."""
     if name in FILTERED or name not in STRATEGIES:
         merged = drop_isolated(merged.withColumn("dbz", clip(F.col("dbz"), MERGE_CLIP)), keys)
     if name == "average" or name not in STRATEGIES:
@@ -97,26 +102,29 @@ def first_file(cells: DataFrame, keys: list[str], arrival: str = "arrival") -> D
     return cells.join(scans, [*keys, arrival], "left_semi")
 
 
-def drop_isolated(cells: DataFrame, keys: list[str], least: int = ISOLATION_MIN) -> DataFrame:
+def drop_isolated(cells: DataFrame, keys: list[str], least: int = ISOLATION_MIN, block: int = 64) -> DataFrame:
     """Keep a valid cell when its 3x3 neighbourhood, itself included, has at least ``least`` valid cells.
 
-    Every valid cell tells its nine neighbours about itself; a cell survives if it told itself and heard enough.
-    One combinable aggregate instead of a self join.
+    Cells are sent to square blocks, those at a rim also to the block next door (about 6 % more rows at 64). Inside
+    a block every valid cell tells its nine neighbours about itself; a cell of the block survives if it told itself
+    and heard enough. The ninefold rows never cross the network, as the aggregate's keys contain the blocks.
     """
+    row, col = F.col("dst_row"), F.col("dst_col")
+    of = lambda c: F.floor(c / block).cast("int")
+    reach = lambda c: F.sequence(F.greatest(F.lit(0), of(c - 1)), of(c + 1))
+    valid = cells.where(F.col("dbz").isNotNull()).select(*keys, "dst_row", "dst_col", "dbz")
+    sent = valid.withColumn("_br", F.explode(reach(row))).withColumn("_bc", F.explode(reach(col))).repartition(*keys, "_br", "_bc")
     around = F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)))
-    told = cells.where(F.col("dbz").isNotNull()).select(*keys, "dst_row", "dst_col", "dbz", F.inline(around))
     own = (F.col("dr") == 0) & (F.col("dc") == 0)
+    told = sent.select("*", F.inline(around)).select(
+        *keys, "_br", "_bc", (row + F.col("dr")).alias("dst_row"), (col + F.col("dc")).alias("dst_col"), F.when(own, F.col("dbz")).alias("dbz")
+    )
     heard = (
-        told.select(
-            *keys,
-            (F.col("dst_row") + F.col("dr")).alias("dst_row"),
-            (F.col("dst_col") + F.col("dc")).alias("dst_col"),
-            F.when(own, F.col("dbz")).alias("dbz"),
-        )
-        .groupBy(*keys, "dst_row", "dst_col")
+        told.where((of(row) == F.col("_br")) & (of(col) == F.col("_bc")))
+        .groupBy(*keys, "_br", "_bc", "dst_row", "dst_col")
         .agg(F.count(F.lit(1)).alias("_heard"), F.max("dbz").alias("dbz"))
     )
-    return heard.where((F.col("_heard") >= least) & F.col("dbz").isNotNull()).drop("_heard")
+    return heard.where((F.col("_heard") >= least) & F.col("dbz").isNotNull()).drop("_heard", "_br", "_bc")
 
 
 def statistics(merged: DataFrame, keys: list[str], total_cells: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import attrs as A
 from ..functions.proj import Grid, mercator
-from .mosaic import strategy as aggregate_of
+from . import mosaic
 from .regrid import SourceGrid, _by_id, unfold
 
 
@@ -30,8 +30,8 @@ def block_mosaic(
     """(keys, dst_row, dst_col, dbz) from strips ``(keys, source, row, raw, scaling, is_u8)`` of lon/lat sources.
 
     A (keys, block) group holds at most ``block_lines`` target lines of every source, however many scans there
-    are; a strip that reaches two blocks is sent to both and each keeps its own lines only. Strategies that look
-    at neighbours are finished with ``mosaic.drop_isolated`` as usual.
+    are; a strip that reaches two blocks is sent to both and each keeps its own lines only. All strategies of
+    ``mosaic`` work; priority is the order of ``grids``.
     """
     if any(g.projection.family != "longlat" for g in grids.values()):
         raise ValueError("strips follow parallels; other projections go through the grid map")
@@ -69,5 +69,8 @@ def block_mosaic(
         F.floor((lon - left) / px) == col
     )
     ranked = placed.withColumn("priority", sid)
-    merged = ranked.groupBy(*keys, "_block", "dst_row", "dst_col").agg(aggregate_of(strategy)().cast("double").alias("dbz"))
-    return merged.drop("_block")
+    if strategy == "weighted":
+        name = F.element_at(F.array(*(F.lit(n) for n in names)), sid + 1)
+        ranked = ranked.withColumn("weight", mosaic.distance_weight(name, lon, lat, F.col("dbz")))
+    merged = ranked.groupBy(*keys, "_block", "dst_row", "dst_col").agg(mosaic.strategy(strategy)().cast("double").alias("dbz"))
+    return mosaic.finish(merged.drop("_block"), keys, strategy)

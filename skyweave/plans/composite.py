@@ -86,7 +86,7 @@ def backload(
 def _mosaic(scans, chosen, availability, grids, dst, strategy, small: bool) -> Composite:
     wanted = F.broadcast(chosen) if small else chosen
     picked = scans.join(wanted, ["source", "ts"])
-    if strategy in ("max", "priority") and all(g.projection.family == "longlat" for g in grids.values()):
+    if all(g.projection.family == "longlat" for g in grids.values()):
         merged = block_mosaic(strips(picked, ["source", "slot"]), grids, dst, ["slot"], strategy)
         return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells))
     cells = S.cells(picked, ["source", "slot"])

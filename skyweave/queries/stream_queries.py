@@ -61,15 +61,14 @@ def t3_stale_cut_off(spark, sf_dir):
 
 @query(
     "t4_held_scans",
-    """SELECT f.event_id AS fast_id, s.event_id AS slow_id, CAST(floor(epoch(s.ts)) - floor(epoch(f.ts)) AS BIGINT) AS gap_seconds FROM events f JOIN events s
- ON f.event_id % 6 = 4 AND s.event_id % 6 = 0 AND s.ts BETWEEN f.ts - INTERVAL 2 MINUTE AND f.ts + INTERVAL 2 MINUTE""",
+    f"""WITH m AS (SELECT DISTINCT event_id % 6 AS s, date_trunc('minute', ts) AS ts FROM events) SELECT strftime(f.ts,'{FMT}') AS fast_ts, strftime(s.ts,'{FMT}') AS slow_ts,
+ CAST((epoch(s.ts) - epoch(f.ts)) / 60 AS INT) AS gap_minutes FROM m f JOIN m s ON f.s = 4 AND s.s = 0 AND s.ts BETWEEN f.ts - INTERVAL 2 MINUTE AND f.ts + INTERVAL 2 MINUTE""",
 )
 def t4_held_scans(spark, sf_dir):
     """Scans of the archive-less service with those of a slower one around the same time."""
-    pick = lambda source, role: event_stream(spark, sf_dir).where(F.col("source") == source).select(
-        F.col("event_id").alias(f"{role}_id"), F.col("ts").alias(f"{role}_ts")
-    )
-    return S.run_to_table(S.held_matches(pick("arso", "fast"), pick("dwd", "slow")), "t4")
+    pick = lambda source, role: event_stream(spark, sf_dir).where(F.col("source") == source).select(F.col("ts").alias(f"{role}_ts"))
+    found = S.run_to_table(S.held_matches(pick("arso", "fast"), pick("dwd", "slow")), "t4")
+    return found.select(minute_text("fast_ts").alias("fast_ts"), minute_text("slow_ts").alias("slow_ts"), "gap_minutes")
 
 
 @query(

@@ -40,19 +40,25 @@ def lateness(scans: DataFrame) -> DataFrame:
 def held_matches(fast: DataFrame, slow: DataFrame, tolerance_minutes: int = TOLERANCE_MINUTES, watermark: str = WATERMARK) -> DataFrame:
     """Scans of a quick service held until the slow service's scan for the same time arrives.
 
-    Stream-stream join on time buckets as long as the tolerance; the bounds on both event times let Spark forget
-    held scans once the watermark has passed them. ``fast(fast_id, fast_ts)``, ``slow(slow_id, slow_ts)``.
+    Each side is reduced to one scan per minute first, so a minute that repeats a million times still gives at most
+    2*tolerance+1 pairs. Stream-stream join on time buckets as long as the tolerance; the bounds on both event times
+    let Spark forget held scans once the watermark has passed them. ``fast(fast_ts)``, ``slow(slow_ts)``.
     """
     size = tolerance_minutes * 60
     bucket = lambda c: F.floor(F.unix_timestamp(c) / size)
-    left = fast.withWatermark("fast_ts", watermark).withColumn("bucket", bucket("fast_ts"))
+
+    def by_minute(scans: DataFrame, name: str) -> DataFrame:
+        minutes = scans.select(F.date_trunc("minute", name).alias(name)).withWatermark(name, watermark)
+        return minutes.dropDuplicatesWithinWatermark([name])
+
+    left = by_minute(fast, "fast_ts").withColumn("bucket", bucket("fast_ts"))
     near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: bucket("slow_ts") + d)
-    right = slow.withWatermark("slow_ts", watermark).withColumn("bucket", F.explode(near))
+    right = by_minute(slow, "slow_ts").withColumn("bucket", F.explode(near))
     reach = F.expr(f"interval {tolerance_minutes} minutes")
     inside = F.col("slow_ts").between(F.col("fast_ts") - reach, F.col("fast_ts") + reach)
     joined = left.alias("l").join(right.alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & inside)
-    gap = F.unix_timestamp("slow_ts") - F.unix_timestamp("fast_ts")
-    return joined.select("fast_id", "slow_id", gap.alias("gap_seconds"))
+    gap = (F.unix_timestamp("slow_ts") - F.unix_timestamp("fast_ts")) / 60
+    return joined.select("fast_ts", "slow_ts", gap.cast("int").alias("gap_minutes"))
 
 
 def once_per_slot(scans: DataFrame, watermark: str = WATERMARK) -> DataFrame:

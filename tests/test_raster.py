@@ -94,12 +94,14 @@ def test_strips_equal_cells(spark):
         arrays[n] = np.where((raw == 0) | (raw == 255), np.nan, raw * 0.5 - 32)
     scans = spark.createDataFrame(rows, "slot int, source string, height int, width int, raw array<int>").withColumns({"scaling": scaling, "is_u8": F.lit(True)})
     lines = strips.strips(scans, ["slot", "source"])
-    for name in ("max", "priority"):
+    lon, lat = dst.centre_lonlat(F.col("dst_row"), F.col("dst_col"))
+    for name in ("max", "priority", "average", "weighted"):
         order = F.when(F.col("source") == "a", 0).when(F.col("source") == "b", 1).otherwise(2)
         placed = place(cells_of(spark, arrays, slot=1), grids, dst).withColumn("priority", order)
+        placed = placed.withColumn("weight", mosaic.distance_weight(F.col("source"), lon, lat, F.col("dbz")))
         want = dense(mosaic.merge(placed, ["slot"], name), (53, 47))
         made = strips.block_mosaic(lines, grids, dst, ["slot"], name, block_lines=5)
-        np.testing.assert_array_equal(dense(made, (53, 47)), want)
+        np.testing.assert_allclose(dense(made, (53, 47)), want)
     fresh = strips.block_mosaic(lines, grids, dst, ["slot"])
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1  # the merge adds no shuffle
@@ -170,6 +172,14 @@ def test_spread_exactly_on_the_limit_is_no_outlier(spark):
     assert {r.dbz for r in mosaic.merge(skewed, ["slot"], "average").collect()} == {25.0}  # the median of 10 10 40 41
 
 
+@pytest.mark.parametrize("block", [1, 4, 64])
+def test_isolation_across_block_borders(spark, block):
+    a = holed((13, 14), 0.75)
+    df = cells_of(spark, {"s": a}, slot=1).withColumnsRenamed({"row": "dst_row", "col": "dst_col"})
+    got = mosaic.drop_isolated(df, ["slot"], block=block)
+    np.testing.assert_array_equal(dense(got, a.shape), isolated(a))
+
+
 def test_two_source_rule(spark):
     df, _ = stack(spark, n=1)
     assert mosaic.merge(df, ["slot"], "max", min_sources=2).count() == 0

@@ -101,10 +101,16 @@ def test_held_scans_over_batches(spark, tmp_path):
     rows = sorted(((rnd.choice(["arso", "dwd"]), BASE + timedelta(seconds=rnd.randrange(3600)), i) for i in range(160)), key=lambda r: r[1])
     folder = str(tmp_path / "in")
     write_parts(spark, folder, rows, SCANS, 3)
-    side = lambda s, role: stream(spark, folder, SCANS).where(F.col("source") == s).select(F.col("event_id").alias(f"{role}_id"), F.col("ts").alias(f"{role}_ts"))
-    got = {(r.fast_id, r.slow_id) for r in S.run_to_table(S.held_matches(side("arso", "fast"), side("dwd", "slow")), "tt4").collect()}
-    want = {(a[2], b[2]) for a in rows for b in rows if a[0] == "arso" and b[0] == "dwd" and abs((a[1] - b[1]).total_seconds()) <= 120}
-    assert got == want
+    side = lambda s, role: stream(spark, folder, SCANS).where(F.col("source") == s).select(F.col("ts").alias(f"{role}_ts"))
+    got = S.run_to_table(S.held_matches(side("arso", "fast"), side("dwd", "slow")), "tt4").collect()
+    minute = lambda t: t.replace(second=0)
+    want = {
+        (minute(a[1]), minute(b[1]))
+        for a in rows
+        for b in rows
+        if a[0] == "arso" and b[0] == "dwd" and abs((minute(a[1]) - minute(b[1])).total_seconds()) <= 120
+    }
+    assert {(r.fast_ts, r.slow_ts) for r in got} == want and len(got) == len(want)
 
 
 def test_ladder_on_a_stream(spark, tmp_path):
