@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dimensions import REGRID_CLIP
 from ..functions.attrs import clip
 from ..functions.proj import Grid, Projection, mercator, to_lonlat, to_native, transform
-from ..session import join_sized, shared_folder
+from ..session import join_sized
 
 WEB = Projection("webmerc")
 SEPARABLE = ("longlat", "merc", "webmerc")
@@ -261,45 +261,56 @@ def bilinear(cells: DataFrame, keys: list[str], src: SourceGrid, rows: tuple[flo
     return summed.where(complete).select(*keys, "dst_row", "dst_col", clip(F.col("_value"), REGRID_CLIP).alias("dbz"))
 
 
-def nearest_point(targets: DataFrame, points: DataFrame, cell_degrees: float) -> DataFrame:
+def nearest_point(targets: DataFrame, points: DataFrame, crowd: int = 64) -> DataFrame:
     """Nearest source point (Euclidean in degrees, no maximum distance) of every target; smaller id on a tie.
 
-    ``targets(target_id, lon, lat)``, ``points(point_id, lon, lat)``. Points go into square bins and a target looks
-    into the nine bins around it. A find not farther than one bin is final; the few targets that are still open
-    are sought again with bins twice as large, until one bin spans everything, so the answer is exact. Each round
-    is checkpointed: later rounds read its rows instead of repeating the joins before it.
+    ``targets(target_id, lon, lat)``, ``points(point_id, lon, lat)``. Distinct points are binned in a pyramid of
+    squares whose finest bins hold at most ``crowd`` of them, however unevenly they lie. Every target goes down the
+    pyramid: of the bins it still considers it keeps those whose nearest edge is not farther than the farthest
+    corner of its best one, so only a handful remain, and only the points of the last few bins are compared. The
+    answer is exact, and neither a crowded bin nor a far-off target makes the pairs grow.
     """
-    spark = targets.sparkSession
-    shared_folder(spark)
-    ends = [F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")]
-    both = points.select("lon", "lat").unionAll(targets.select("lon", "lat"))
-    west, east, south, north = both.agg(*ends).first()  # four numbers
-    found, size = None, cell_degrees
-    open_targets = targets.select("target_id", "lon", "lat")
-    while True:
-        last = west is None or size >= max(east - west, north - south)
-        bin_of = lambda c: F.floor(F.col(c) / size)
-        binned = points.select(
-            "point_id", F.col("lon").alias("_plon"), F.col("lat").alias("_plat"), bin_of("lon").alias("_bx"), bin_of("lat").alias("_by")
-        )
-        near = F.sequence(F.lit(-1), F.lit(1))
-        around = open_targets.withColumn("_bx", F.explode(F.transform(near, lambda d: bin_of("lon") + d))).withColumn(
-            "_by", F.explode(F.transform(near, lambda d: bin_of("lat") + d))
-        )
-        gap = F.sqrt(F.pow(F.col("_plon") - F.col("lon"), 2) + F.pow(F.col("_plat") - F.col("lat"), 2))
-        best = (
-            around.join(binned.hint("merge"), ["_bx", "_by"])
-            .groupBy("target_id", "lon", "lat")
-            .agg(F.min(F.struct(gap.alias("distance"), "point_id")).alias("_best"))
-        )
-        looked = open_targets.join(best.select("target_id", "_best"), "target_id", "left").checkpoint()
-        sure = F.lit(True) if last else F.coalesce(F.col("_best.distance") <= size, F.lit(False))
-        done = looked.where(sure & F.col("_best").isNotNull()).select("target_id", "_best.point_id", "_best.distance")
-        found = done if found is None else found.unionByName(done)
-        open_targets = looked.where(~sure).drop("_best")
-        if last or open_targets.isEmpty():
-            return found
-        size *= 2
+    lon, lat = F.col("lon"), F.col("lat")
+    distinct = points.groupBy("lon", "lat").agg(F.min("point_id").alias("point_id"))
+    west, east, south, north = points.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()  # four numbers
+    if west is None:
+        return targets.select("target_id", F.lit(None).cast("bigint").alias("point_id"), F.lit(None).cast("double").alias("distance")).limit(0)
+    root = max(east - west, north - south, 1e-9) * (1 + 1e-9)
+
+    def binned(level: int) -> DataFrame:
+        side = root / 2**level
+        return distinct.withColumns({"bx": F.floor((lon - west) / side), "by": F.floor((lat - south) / side)})
+
+    depth = 2
+    while depth < 26 and binned(depth).groupBy("bx", "by").count().agg(F.max("count")).first()[0] > crowd:
+        depth += 2
+    leaves = binned(depth)
+    up = lambda c, n: F.floor(F.col(c) / 2**n)
+
+    def boxes(level: int) -> DataFrame:
+        n = depth - level
+        return leaves.groupBy(up("bx", n).alias("_cx"), up("by", n).alias("_cy")).agg(
+            F.min("lon").alias("_w"), F.max("lon").alias("_e"), F.min("lat").alias("_s"), F.max("lat").alias("_n")
+        ).withColumns({"bx": up("_cx", 2), "by": up("_cy", 2)})
+
+    apart = lambda low, high, at: F.greatest(F.lit(0.0), F.col(low) - at, at - F.col(high))
+    across = lambda low, high, at: F.greatest(F.abs(F.col(low) - at), F.abs(F.col(high) - at))
+    length = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
+    looking = targets.select("target_id", "lon", "lat", F.lit(0).cast("bigint").alias("bx"), F.lit(0).cast("bigint").alias("by"))
+    own = Window.partitionBy("target_id")
+    for level in range(2, depth + 1, 2):
+        down = join_sized(looking, boxes(level), ["bx", "by"], 4**level)
+        near = length(apart("_w", "_e", lon), apart("_s", "_n", lat))
+        far = length(across("_w", "_e", lon), across("_s", "_n", lat))
+        judged = down.withColumns({"_near": near, "_far": far}).withColumn("_best", F.min("_far").over(own))
+        kept = judged.where(F.col("_near") <= F.col("_best") * (1 + 1e-12) + 1e-15)
+        looking = kept.select("target_id", "lon", "lat", F.col("_cx").alias("bx"), F.col("_cy").alias("by"))
+    ends = leaves.select("bx", "by", "point_id", F.col("lon").alias("_plon"), F.col("lat").alias("_plat"))
+    distance = length(F.col("_plon") - lon, F.col("_plat") - lat)
+    best = looking.join(ends.hint("merge"), ["bx", "by"]).groupBy("target_id").agg(
+        F.min(F.struct(distance.alias("distance"), "point_id")).alias("_best")
+    )
+    return best.select("target_id", "_best.point_id", "_best.distance")
 
 
 def default_output_grid(geometries: DataFrame, key: str, projection: Projection, steps: int = 20) -> DataFrame:

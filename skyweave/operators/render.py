@@ -26,6 +26,9 @@ def _lanczos(x: Column) -> Column:
     return F.when(F.abs(x) < 3.0, sinc(x) * sinc(x / 3.0)).otherwise(F.lit(0.0))
 
 
+WEIGHT_ONE = 1 << 22  # weights are whole numbers of this size, so their sums do not depend on the order
+
+
 def resample_weights(spark, n_in: int, n_out: int, method: str = "lanczos") -> DataFrame:
     """(src, dst, w): how much each input line counts for each output line. About 6 * max(n_in, n_out) rows."""
     scale = n_in / n_out
@@ -33,13 +36,14 @@ def resample_weights(spark, n_in: int, n_out: int, method: str = "lanczos") -> D
     centre = (F.col("dst") + 0.5) * scale
     out = spark.range(n_out).select(F.col("id").cast("int").alias("dst"))
     if method == "nearest":
-        return out.select(F.least(F.floor(centre).cast("int"), F.lit(n_in - 1)).alias("src"), "dst", F.lit(1.0).alias("w"))
+        return out.select(F.least(F.floor(centre).cast("int"), F.lit(n_in - 1)).alias("src"), "dst", F.lit(WEIGHT_ONE).cast("bigint").alias("w"))
     reach = 3.0 * stretch
     low = F.greatest(F.lit(0), (centre - reach + 0.5).cast("int"))
     high = F.least(F.lit(n_in), (centre + reach + 0.5).cast("int"))
     taps = out.withColumn("_taps", F.transform(F.sequence(low, high - 1), lambda s: F.struct(s.alias("src"), _lanczos((s - centre + 0.5) / stretch).alias("w"))))
     total = F.aggregate("_taps", F.lit(0.0), lambda acc, t: acc + t["w"])
-    return taps.withColumn("_sum", total).select("dst", "_sum", F.inline("_taps")).select("src", "dst", (F.col("w") / F.col("_sum")).alias("w"))
+    share = F.round(F.col("w") / F.col("_sum") * float(WEIGHT_ONE)).cast("bigint")
+    return taps.withColumn("_sum", total).select("dst", "_sum", F.inline("_taps")).select("src", "dst", share.alias("w"))
 
 
 def resample(pixels: DataFrame, keys: list[str], shape: tuple[int, int], target: tuple[int, int], method: str = "lanczos") -> DataFrame:
@@ -50,7 +54,8 @@ def resample(pixels: DataFrame, keys: list[str], shape: tuple[int, int], target:
     """
     spark = pixels.sparkSession
     bands = ["r", "g", "b", "a"]
-    level = lambda c: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(c + 0.5).cast("int")))
+    half = WEIGHT_ONE // 2
+    level = lambda c: F.greatest(F.lit(0), F.least(F.lit(255), F.shiftright(c + half, 22))).cast("int")
     cur = pixels.where("a > 0").select(*keys, "row", "col", *(F.floor(F.col(c) * F.col("a") / 255.0 + 0.5).cast("int").alias(c) for c in "rgb"), "a")
     for line, other, n_in, n_out in (("col", "row", shape[1], target[1]), ("row", "col", shape[0], target[0])):
         # as many weights as the raster's side has pixels times the taps of one line

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import views
-from ..dimensions import COLOUR_ANCHORS, QUANTITY_UNITS, REFERENCE_EXTENT
+from ..dimensions import QUANTITY_UNITS, REFERENCE_EXTENT
 from ..functions import attrs as A
 from ..functions import colour as K
 from ..functions import proj as P
@@ -232,15 +232,6 @@ def c15_degree_distance(spark, sf_dir):
 
 # --- colours --------------------------------------------------------------------------------------
 
-SCALE = (
-    "anchors(d, r, g, b) AS (VALUES " + ", ".join(str(a) for a in COLOUR_ANCHORS) + """),
-steps AS (SELECT CAST(s AS INT) AS dbz, (s + 35) // 5 * 5 - 35 AS lo FROM range(-35, 86) t(s)),
-scale AS (SELECT dbz, CAST(trunc(a.r + (dbz - lo) / 5.0::DOUBLE * (coalesce(z.r, a.r) - a.r)) AS INT) AS r, CAST(trunc(a.g + (dbz - lo) / 5.0::DOUBLE * (coalesce(z.g, a.g) - a.g)) AS INT) AS g,
-  CAST(trunc(a.b + (dbz - lo) / 5.0::DOUBLE * (coalesce(z.b, a.b) - a.b)) AS INT) AS b FROM steps JOIN anchors a ON a.d = lo LEFT JOIN anchors z ON z.d = lo + 5),
-lut AS (SELECT CAST(i AS INT) AS idx, r, g, b FROM range(256) t(i) JOIN scale ON dbz = CAST(floor(-35 + i * (120 / 255.0::DOUBLE) + 0.5) AS INT))"""
-)
-
-
 @query(
     "r1_colour_index",
     f"""WITH {ctes.BIG} SELECT source, CAST(CASE WHEN dbz >= 10 THEN trunc(least(255, greatest(0, (dbz + 35) / 120 * 255))) ELSE 0 END AS INT) AS idx, dbz >= 10 AS visible, count(*) AS cells FROM big GROUP BY ALL""",
@@ -254,7 +245,7 @@ def r1_colour_index(spark, sf_dir):
 
 @query(
     "r2_colour_scale",
-    f"WITH {ctes.BIG}, {SCALE}, used AS (SELECT CAST(floor(least(85, dbz) + 0.5) AS INT) AS dbz, count(*) AS cells FROM big GROUP BY ALL) SELECT dbz, r, g, b, cells FROM used JOIN scale USING (dbz)",
+    f"WITH {ctes.BIG}, {ctes.SCALE}, used AS (SELECT CAST(floor(least(85, dbz) + 0.5) AS INT) AS dbz, count(*) AS cells FROM big GROUP BY ALL) SELECT dbz, r, g, b, cells FROM used JOIN scale USING (dbz)",
 )
 def r2_colour_scale(spark, sf_dir):
     """Steps of the scale that the data uses."""
@@ -265,7 +256,7 @@ def r2_colour_scale(spark, sf_dir):
 
 @query(
     "r3_colour_table",
-    f"""WITH {ctes.BIG}, {SCALE}, used AS (SELECT CAST(trunc(least(255, greatest(0, (dbz + 35) / 120 * 255))) AS INT) AS idx, count(*) AS cells FROM big GROUP BY ALL)
+    f"""WITH {ctes.BIG}, {ctes.SCALE}, used AS (SELECT CAST(trunc(least(255, greatest(0, (dbz + 35) / 120 * 255))) AS INT) AS idx, count(*) AS cells FROM big GROUP BY ALL)
 SELECT idx, r, g, b, 255 AS a, cells FROM used JOIN lut USING (idx)""",
 )
 def r3_colour_table(spark, sf_dir):
@@ -276,7 +267,7 @@ def r3_colour_table(spark, sf_dir):
 
 @query(
     "r4_colour_of_value",
-    f"""WITH {SCALE}, v AS (SELECT l_orderkey, l_linenumber, l_quantity * 3 - 40 AS v FROM lineitem) SELECT l_orderkey, l_linenumber, r, g, b FROM v JOIN scale ON dbz = CAST(floor(greatest(-35, least(85, v)) + 0.5) AS INT)""",
+    f"""WITH {ctes.SCALE}, v AS (SELECT l_orderkey, l_linenumber, l_quantity * 3 - 40 AS v FROM lineitem) SELECT l_orderkey, l_linenumber, r, g, b FROM v JOIN scale ON dbz = CAST(floor(greatest(-35, least(85, v)) + 0.5) AS INT)""",
 )
 def r4_colour_of_value(spark, sf_dir):
     items = views.table(spark, sf_dir, "lineitem")
@@ -297,7 +288,7 @@ def r5_colour_choice(spark, sf_dir):
 
 @query(
     "j16_colour_lookup",
-    f"""WITH {ctes.BIG_PLACED}, {SCALE}, m AS (SELECT slot, dst_row, dst_col, max(dbz) AS dbz FROM placed GROUP BY ALL),
+    f"""WITH {ctes.BIG_PLACED}, {ctes.SCALE}, m AS (SELECT slot, dst_row, dst_col, max(dbz) AS dbz FROM placed GROUP BY ALL),
 i AS (SELECT *, CAST(CASE WHEN dbz >= 10 THEN trunc(least(255, greatest(0, (dbz + 35) / 120 * 255))) ELSE 0 END AS INT) AS idx FROM m)
 SELECT slot, dst_row, dst_col, r, g, b, CASE WHEN dbz >= 10 THEN 255 ELSE 0 END AS a FROM i JOIN lut USING (idx)""",
 )

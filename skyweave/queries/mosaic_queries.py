@@ -305,7 +305,7 @@ def j8_nearest_point(spark, sf_dir):
     dst_row, dst_col = F.floor(F.col("id") / grid.width), F.col("id") % grid.width
     lon, lat = grid.centre_lonlat(dst_row, dst_col)
     targets = spark.range(grid.cells).select(F.col("id").alias("target_id"), lon.alias("lon"), lat.alias("lat"))
-    return regrid.nearest_point(targets, points, 0.25).select("target_id", "point_id", r6("distance").alias("distance"))
+    return regrid.nearest_point(targets, points).select("target_id", "point_id", r6("distance").alias("distance"))
 
 
 @query(
@@ -326,7 +326,17 @@ def j9_bilinear(spark, sf_dir):
     return merged_out(out)
 
 
-@query("r7_resample")
+RESAMPLE = f"""WITH {ctes.BIG_PLACED}, {ctes.SCALE}, m AS (SELECT slot, dst_row AS "row", dst_col AS col, max(dbz) AS dbz FROM placed GROUP BY ALL),
+drawn AS (SELECT slot, "row", col, r, g, b, 255 AS a FROM m JOIN lut ON idx = CAST(trunc(least(255, greatest(0, (dbz + 35) / 120 * 255))) AS INT) WHERE dbz >= 10),
+taps AS (SELECT o AS dst, i AS src, (i - (o + 0.5::DOUBLE) * 2 + 0.5) / 2 AS x FROM range(14) p(o), range(28) q(i) WHERE i >= greatest(0, trunc((o + 0.5::DOUBLE) * 2 - 6 + 0.5)) AND i < least(28, trunc((o + 0.5::DOUBLE) * 2 + 6 + 0.5))),
+lz AS (SELECT dst, src, CASE WHEN x = 0 THEN 1 WHEN abs(x) < 3 THEN sin(x * pi()) / (x * pi()) * (sin(x / 3 * pi()) / (x / 3 * pi())) ELSE 0 END AS w FROM taps),
+wt AS (SELECT dst, src, CAST(round(w / sum(w) OVER (PARTITION BY dst) * 4194304) AS BIGINT) AS w FROM lz),
+h AS (SELECT slot, "row", dst AS col, {", ".join(f"greatest(0, least(255, (sum(w * {c}) + 2097152) // 4194304)) AS {c}" for c in "rgba")} FROM drawn JOIN wt ON col = src GROUP BY slot, "row", dst),
+v AS (SELECT slot, dst AS "row", col, {", ".join(f"greatest(0, least(255, (sum(w * {c}) + 2097152) // 4194304)) AS {c}" for c in "rgba")} FROM h JOIN wt ON "row" = src GROUP BY slot, dst, col)
+SELECT slot, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, {", ".join(f"CAST(CASE WHEN a = 255 THEN {c} ELSE least(255, {c} * 255 // a) END AS INT) AS {c}" for c in "rgb")}, CAST(a AS INT) AS a FROM v WHERE a > 0"""
+
+
+@query("r7_resample", RESAMPLE)
 def r7_resample(spark, sf_dir):
     """Max mosaics drawn and scaled down by Lanczos weights."""
     from ..operators import render
