@@ -9,11 +9,11 @@ from ..functions.proj import Grid
 from ..operators.regrid import SEPARABLE, SourceGrid, apply_grid_map, grid_map, map_rows, scatter, scatter_all
 
 
-def place(cells: DataFrame, grids: dict[str, SourceGrid], dst: Grid) -> DataFrame:
+def place(cells: DataFrame, grids: dict[str, SourceGrid], dst: Grid, maps: dict[str, DataFrame] | None = None) -> DataFrame:
     """Cells (source, row, col, ...) of several services on the target grid.
 
     Lon/lat services share one pass and Mercator ones take one each, all without a join; any other projection
-    goes through its grid map.
+    goes through its grid map: a stored one from ``maps`` (see ``stored_map``), else one built on the spot.
     """
     ids = {name: i for i, name in enumerate(grids)}
     flat = {ids[n]: g for n, g in grids.items() if g.projection.family == "longlat"}
@@ -30,9 +30,22 @@ def place(cells: DataFrame, grids: dict[str, SourceGrid], dst: Grid) -> DataFram
             parts.append(scatter(own, g, dst))
         else:
             only = {ids[name]: g}
-            mapping = grid_map(cells.sparkSession, only, dst)
+            mapping = (maps or {}).get(name)
+            if mapping is None:
+                mapping = grid_map(cells.sparkSession, only, dst)
+            mapping = mapping.select(F.lit(ids[name]).alias("source_id"), "dst_row", "dst_col", "row", "col")
             parts.append(apply_grid_map(own, mapping, map_rows(only, dst)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.drop("source_id")
+
+
+def store_map(spark, source: SourceGrid, dst: Grid, key: str, path: str) -> None:
+    """Keep the grid map of one geometry under its key (see ``functions.proj.geometry_key``)."""
+    mapping = grid_map(spark, {0: source}, dst).drop("source_id").withColumn("geom_key", F.lit(key))
+    mapping.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("geom_key").parquet(path)
+
+
+def stored_map(spark, key: str, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("geom_key") == key).drop("geom_key")

@@ -29,7 +29,7 @@ def _age(now: Column) -> Column:
 def upsert(store: DataFrame, incoming: DataFrame, now: Column, ttl_minutes: int = STORE_TTL_MINUTES, force: bool = False) -> DataFrame:
     """The store after a put: an incoming scan is taken unless a live row has its key (``force``: always).
 
-    The row it replaces goes. Both sides are unique per key, so the joins stay one to one. Only the keys of the
+    The row it replaces goes. Both sides have one row per key, so the joins stay one to one. Only the keys of the
     live rows cross the first join, never their pixels.
     """
     store, incoming = keyed(store), keyed(incoming)
@@ -66,5 +66,5 @@ def cleared(store: DataFrame, source: str | None = None) -> tuple[DataFrame, Dat
 
 
 def write(store: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Written beside the old state and partitioned by source, so a clean-up rewrites no other source."""
+    """Replace the sources that ``store`` holds and no others; ``store`` must not be read from ``path`` itself."""
     store.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)

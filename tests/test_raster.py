@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyweave.functions.proj import Grid, Projection
 from skyweave.operators import coverage, mosaic, regrid, render, strips
-from skyweave.plans.placing import place
+from skyweave.plans.placing import place, store_map, stored_map
 
 RNG = np.random.default_rng(7)
 
@@ -83,6 +83,19 @@ def test_place_mixes_projections(spark):
     assert placed.groupBy("source", "dst_row", "dst_col").count().where("count > 1").count() == 0
 
 
+def test_a_stored_map_gives_the_same(spark, tmp_path):
+    dst = Grid.of_shape((9.0, 20.0, 44.0, 56.0), 25, 25)
+    cone = Projection.of("+proj=lcc +lat_1=46.12 +lat_2=46.12 +lat_0=46.12 +lon_0=14.815 +R=6371000 +units=km")
+    g = regrid.SourceGrid(-200.0, 150.0, 20.0, 20.0, 15, 20, cone)
+    cells = cells_of(spark, {"arso": holed((15, 20))})
+    for key in ("arso_15x20_v1", "other_1x1_v1"):
+        store_map(spark, g, dst, key, str(tmp_path / "maps"))
+    maps = {"arso": stored_map(spark, "arso_15x20_v1", str(tmp_path / "maps"))}
+    a, b = (dense(place(cells, {"arso": g}, dst, m), (25, 25)) for m in (None, maps))
+    assert (~np.isnan(a)).sum() > 20
+    np.testing.assert_array_equal(a, b)
+
+
 def test_strips_equal_cells(spark):
     dst = Grid.of_shape((9.3, 18.1, 44.2, 51.7), 53, 47)
     grids = {"a": regrid.SourceGrid(10, 51, 0.31, 0.27, 17, 19), "b": regrid.SourceGrid(12.3, 49.5, 0.11, 0.13, 30, 33), "c": regrid.SourceGrid(8, 46, 0.4, 0.4, 9, 9)}
