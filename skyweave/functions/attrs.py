@@ -19,9 +19,18 @@ def number(attrs: Column, *names: str) -> Column:
     return attr(attrs, *names).try_cast("double")
 
 
-def scaling(attrs: Column, source: Column) -> Column:
-    """gain, offset, nodata, undetect and the unsigned-byte rule of a scan, each with its source's default."""
-    field = lambda i: by_source(source, {name: row[i] for name, row in DECODE_DEFAULTS.items()}, (1.0, 0.0, 65535, 0, False)[i])
+GENERIC_DEFAULTS = (1.0, 0.0, 65535, 0, False)
+
+
+def scaling(attrs: Column, source: Column | str) -> Column:
+    """gain, offset, nodata, undetect and the unsigned-byte rule of a scan, each with its source's default.
+
+    ``source`` is a column, or the name where all scans are of one service.
+    """
+    if isinstance(source, str):
+        field = lambda i: F.lit(DECODE_DEFAULTS.get(source, GENERIC_DEFAULTS)[i])
+    else:
+        field = lambda i: by_source(source, {name: row[i] for name, row in DECODE_DEFAULTS.items()}, GENERIC_DEFAULTS[i])
     whole = lambda name: number(attrs, name).cast("int")
     return F.struct(
         F.coalesce(number(attrs, "gain"), field(0)).alias("gain"),

@@ -81,19 +81,17 @@ def latest_stamp(ts_raw: Column, what_global: Column, now: Column) -> Column:
     )
 
 
-def stamp_from_filename(name: Column, source: Column) -> Column:
+def stamp_from_filename(name: Column, source: Column | str) -> Column:
     """14-digit stamp held in a file name; the pattern depends on the source, null when it is not there."""
     underscore = F.regexp_extract(name, r"(\d{8})_(\d{4})", 0)
-    polish = F.regexp_extract(name, r"^(\d{14})00dBZ", 1)
-    digits = F.regexp_extract(name, r"\d{14}", 0)
     short = F.regexp_extract(name, r"\d{12}", 0)
-    found = (
-        F.when(source.isin("dwd", "omsz") & (underscore != ""), F.concat(F.replace(underscore, F.lit("_"), F.lit("")), F.lit("00")))
-        .when(source.isin("dwd", "omsz"), F.when(short != "", F.concat(short, F.lit("00"))))
-        .when(source == "imgw", polish)
-        .otherwise(digits)
-    )
-    return F.nullif(found, F.lit(""))
+    minutes = F.coalesce(F.nullif(F.replace(underscore, F.lit("_"), F.lit("")), F.lit("")), F.nullif(short, F.lit("")))
+    by_minute = F.concat(minutes, F.lit("00"))
+    polish = F.nullif(F.regexp_extract(name, r"^(\d{14})00dBZ", 1), F.lit(""))
+    full = F.nullif(F.regexp_extract(name, r"\d{14}", 0), F.lit(""))
+    if isinstance(source, str):
+        return by_minute if source in ("dwd", "omsz") else polish if source == "imgw" else full
+    return F.when(source.isin("dwd", "omsz"), by_minute).when(source == "imgw", polish).otherwise(full)
 
 
 def srd_stamp(parts: Column) -> Column:

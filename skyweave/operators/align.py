@@ -9,6 +9,9 @@ from ..dimensions import LATEST_ONLY_SOURCE, MIN_CORE_SOURCES, REPROCESS_COUNT,
 from ..functions.timefn import known_spellings
 
 
+MICROS_SPAN = 10**16  # above any microsecond count since 1970 until the year 2286
+
+
 def nearest_per_candidate(catalog: DataFrame, tolerance_minutes: int = TOLERANCE_MINUTES, carry: list[str] = ()) -> DataFrame:
     """For every minute that has a scan, the nearest scan of every source within the tolerance.
 
@@ -18,15 +21,21 @@ def nearest_per_candidate(catalog: DataFrame, tolerance_minutes: int = TOLERANCE
     Returns (candidate, source, gap_minutes, ts, *carry).
     """
     minute = F.date_trunc("minute", "ts")
+    gap, micros = F.abs("_shift").cast("bigint"), F.unix_micros("ts")
+    # nearness and time in one whole number: a fixed-width buffer, so the aggregate hashes instead of sorting
     offered = catalog.select(
         "source", "ts", *carry, F.explode(F.sequence(F.lit(-tolerance_minutes), F.lit(tolerance_minutes))).alias("_shift")
-    ).select(
+    ).select("source", (minute + F.make_dt_interval(mins=F.col("_shift"))).alias("candidate"), (gap * MICROS_SPAN + micros).alias("_order"), *carry)
+    nearest = offered.groupBy("candidate", "source").agg(
+        F.min("_order").alias("_order"), *(F.min_by(c, "_order").alias(c) for c in carry)
+    )
+    return nearest.select(
+        "candidate",
         "source",
-        (minute + F.make_dt_interval(mins=F.col("_shift"))).alias("candidate"),
-        F.struct(F.abs("_shift").alias("gap_minutes"), F.col("ts"), *(F.col(c) for c in carry)).alias("_scan"),
+        F.floor(F.col("_order") / MICROS_SPAN).cast("int").alias("gap_minutes"),
+        F.timestamp_micros(F.col("_order") % MICROS_SPAN).alias("ts"),
+        *carry,
     )
-    nearest = offered.groupBy("candidate", "source").agg(F.min("_scan").alias("_scan"))
-    return nearest.select("candidate", "source", "_scan.*")
 
 
 def matched_slots(nearest: DataFrame, sources_known: int, min_sources: int | None = None) -> DataFrame:

@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 200_000
 
 
+# Settings to start a cluster session with, besides its sizes (about 128 MB of shuffle data per partition).
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a broadcast is decided on sizes seen at run time, not on estimates that do not see what an explode makes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """All instants are UTC; every entry point calls this first."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -28,10 +28,9 @@ def write_landed(scans: DataFrame, path: str) -> None:
     scans.write.mode("append").partitionBy("source", "date").parquet(path)
 
 
-def _standard(scans: DataFrame, scaling_attrs: Column, extent: Column, ts14: Column, product: Column, quantity: Column) -> DataFrame:
-    s = A.scaling(scaling_attrs, F.col("source"))
+def _standard(source: str, scans: DataFrame, scaling_attrs: Column, extent: Column, ts14: Column, product: Column, quantity: Column) -> DataFrame:
     return (
-        scans.withColumn("scaling", s)
+        scans.withColumn("scaling", A.scaling(scaling_attrs, source))
         .withColumn("extent", extent)
         .withColumn("ts14", ts14)
         .withColumn("ts", T.parse_timestamp(F.col("ts14"), T.FULL))
@@ -46,21 +45,21 @@ def read_dwd(scans: DataFrame) -> DataFrame:
     """Product and stamp from the file name, scaling of the data group, extent from four corners in any order."""
     product = A.product_of_filename(F.col("path"))
     quantity = F.when(product == "dmax", "DBZH").otherwise("UNKNOWN")
-    ts14 = F.coalesce(T.stamp_from_filename(F.col("path"), F.col("source")), T.normalize_timestamp(F.col("ts_raw"), 14))
-    return _standard(scans, F.col("what_data"), A.four_corner_extent(F.col("where_attrs")), ts14, product, quantity)
+    ts14 = F.coalesce(T.stamp_from_filename(F.col("path"), "dwd"), T.normalize_timestamp(F.col("ts_raw"), 14))
+    return _standard("dwd", scans, F.col("what_data"), A.four_corner_extent(F.col("where_attrs")), ts14, product, quantity)
 
 
 def read_shmu(scans: DataFrame) -> DataFrame:
     """Scaling, product and stamp of the dataset group; corners always given."""
     g = F.col("what_dataset")
-    return _standard(scans, g, A.corner_extent(F.col("where_attrs")), T.stamp_from_attrs(g), _or_unknown(g, "product"), _or_unknown(g, "quantity"))
+    return _standard("shmu", scans, g, A.corner_extent(F.col("where_attrs")), T.stamp_from_attrs(g), _or_unknown(g, "product"), _or_unknown(g, "quantity"))
 
 
 def read_chmi(scans: DataFrame) -> DataFrame:
     """Scaling and quantity of the data group, product and stamp of the dataset group, known extent as fallback."""
     d, g = F.col("what_data"), F.col("what_dataset")
     extent = A.corner_extent(F.col("where_attrs"), A.extent_lit(SCAN_FALLBACK_EXTENTS["chmi"]))
-    return _standard(scans, d, extent, T.stamp_from_attrs(g), _or_unknown(g, "product"), _or_unknown(d, "quantity"))
+    return _standard("chmi", scans, d, extent, T.stamp_from_attrs(g), _or_unknown(g, "product"), _or_unknown(d, "quantity"))
 
 
 def read_imgw(scans: DataFrame) -> DataFrame:
@@ -69,7 +68,7 @@ def read_imgw(scans: DataFrame) -> DataFrame:
     extent = A.corner_extent(F.col("where_attrs"), A.extent_lit(SCAN_FALLBACK_EXTENTS["imgw"]))
     product = F.coalesce(A.attr(g, "product"), F.lit("MAX"))
     quantity = F.coalesce(A.attr(g, "quantity"), F.lit("DBZH"))
-    return _standard(scans, g, extent, T.stamp_from_attrs(g, F.col("what_global")), product, quantity)
+    return _standard("imgw", scans, g, extent, T.stamp_from_attrs(g, F.col("what_global")), product, quantity)
 
 
 def read_omsz(scans: DataFrame) -> DataFrame:
@@ -80,7 +79,7 @@ def read_omsz(scans: DataFrame) -> DataFrame:
     product = F.when(path.contains("refl2D_pscappi"), "refl2D_pscappi").when(path.contains("refl3D"), "refl3D").otherwise("refl2D")
     unsigned = scans.withColumn("raw", F.transform("raw", A.unsigned))
     ts14 = T.normalize_timestamp(F.col("ts_raw"), 14)
-    return _standard(unsigned, F.create_map().cast("map<string,string>"), extent, ts14, product, F.lit("DBZH"))
+    return _standard("omsz", unsigned, F.create_map().cast("map<string,string>"), extent, ts14, product, F.lit("DBZH"))
 
 
 def _or_unknown(attrs: Column, name: str) -> Column:
