@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.colour import coverage_rgba
 from ..functions.proj import Grid
-from .regrid import unfold
+from .regrid import _by_id, unfold
 
 
-def covered(raw: Column, source: Column) -> Column:
-    """A cell is covered unless it holds the outside marker; the text-grid source covers its whole grid."""
-    return (source == "arso") | (raw != 255)
+def covered(raw: Column, source: Column, nodata: Column | None = None, is_u8: Column | None = None) -> Column:
+    """A cell is covered unless it holds the outside marker: 255 in byte rasters, else the given one (or 255).
+
+    The text-grid source covers its whole grid.
+    """
+    marker = F.lit(255) if nodata is None else F.coalesce(nodata.cast("int"), F.lit(255))
+    if is_u8 is not None:
+        marker = F.when(is_u8, F.lit(255)).otherwise(marker)
+    return (source == "arso") | (raw != marker)
 
 
 def coverage_fraction(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,23 +27,30 @@ def coverage_fraction(cells: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def placed_mask(mask: DataFrame, extent: tuple[float, float, float, float], shape: tuple[int, int], dst: Grid) -> DataFrame:
-    """Covered cells of a published Web Mercator mask on another Web Mercator grid; what lies outside drops.
+def placed_masks(masks: DataFrame, grids: dict[int, Grid], dst: Grid) -> DataFrame:
+    """Covered cells of published Web Mercator masks on another Web Mercator grid; what lies outside drops.
 
-    ``mask(row, col)`` lists covered cells. Both grids are Mercator, so placement is linear per axis and each
-    mask cell unfolds to the target cells whose centres it holds.
+    ``masks(source_id, row, col)`` lists covered cells. All grids are Mercator, so placement is linear per axis and
+    each mask cell unfolds to the target cells whose centres it holds; all services in one pass.
     """
-    src = Grid.of_shape(extent, *shape)
+    pick = lambda name: _by_id(F.col("source_id"), {i: float(getattr(g, name)) for i, g in grids.items()})
+    west, north, dx, dy = (pick(n) for n in ("west", "north", "dx", "dy"))
     row, col = F.col("row"), F.col("col")
     low = lambda at, step: F.floor(at / step - 0.5).cast("int")
     high = lambda at, step: F.ceil(at / step - 0.5).cast("int")
-    east_of = lambda at: at * src.dx + (src.west - dst.west)
-    south_of = lambda at: at * src.dy + (dst.north - src.north)
+    east_of = lambda at: at * dx + (west - dst.west)
+    south_of = lambda at: at * dy + (F.lit(dst.north) - north)
     x, y = dst.centre(F.col("dst_row"), F.col("dst_col"))
-    rows = unfold(mask, "dst_row", low(south_of(row), dst.dy), high(south_of(row + 1), dst.dy), dst.height)
-    rows = rows.where(F.floor((F.lit(src.north) - y) / src.dy) == row)
+    rows = unfold(masks, "dst_row", low(south_of(row), dst.dy), high(south_of(row + 1), dst.dy), dst.height)
+    rows = rows.where(F.floor((north - y) / dy) == row)
     cols = unfold(rows, "dst_col", low(east_of(col), dst.dx), high(east_of(col + 1), dst.dx), dst.width)
-    return cols.where(F.floor((x - src.west) / src.dx) == col).drop("row", "col")
+    return cols.where(F.floor((x - west) / dx) == col).drop("row", "col")
+
+
+def placed_mask(mask: DataFrame, extent: tuple[float, float, float, float], shape: tuple[int, int], dst: Grid) -> DataFrame:
+    """The same for one service: ``mask(row, col)`` with its extent and shape."""
+    one = mask.withColumn("source_id", F.lit(0))
+    return placed_masks(one, {0: Grid.of_shape(extent, *shape)}, dst).drop("source_id")
 
 
 def union_mask(placed: DataFrame) -> DataFrame:

@@ -296,10 +296,15 @@ def nearest_point(targets: DataFrame, points: DataFrame, crowd: int = 64) -> Dat
     apart = lambda low, high, at: F.greatest(F.lit(0.0), F.col(low) - at, at - F.col(high))
     across = lambda low, high, at: F.greatest(F.abs(F.col(low) - at), F.abs(F.col(high) - at))
     length = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
-    looking = targets.select("target_id", "lon", "lat", F.lit(0).cast("bigint").alias("bx"), F.lit(0).cast("bigint").alias("by"))
     own = Window.partitionBy("target_id")
+    looking = targets.select("target_id", "lon", "lat")
     for level in range(2, depth + 1, 2):
-        down = join_sized(looking, boxes(level), ["bx", "by"], 4**level)
+        if level == 2:  # at most sixteen boxes, which every target looks at
+            names = ("_cx", "_cy", "_w", "_e", "_s", "_n")
+            top = [F.struct(*(F.lit(box[n]).alias(n) for n in names)) for box in boxes(2).collect()]
+            down = looking.select("*", F.inline(F.array(*top)))
+        else:
+            down = join_sized(looking, boxes(level), ["bx", "by"], 4**level)
         near = length(apart("_w", "_e", lon), apart("_s", "_n", lat))
         far = length(across("_w", "_e", lon), across("_s", "_n", lat))
         judged = down.withColumns({"_near": near, "_far": far}).withColumn("_best", F.min("_far").over(own))

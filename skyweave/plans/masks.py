@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.attrs import unsigned
+from ..functions.attrs import number, unsigned
 from ..functions.proj import Grid
 from ..operators import coverage
 from ..operators.regrid import SourceGrid
@@ -17,8 +17,10 @@ def native_masks(scans: DataFrame) -> DataFrame:
 
     The distinct combines before the shuffle, so its size is that of the masks, not of the scans.
     """
-    pixels = scans.select("source", "width", F.posexplode("raw").alias("_pos", "raw"))
-    seen = pixels.where(coverage.covered(unsigned(F.col("raw")), F.col("source")))
+    nodata = number(F.col("what_data"), "nodata").alias("nodata")
+    pixels = scans.select("source", "width", "is_u8", nodata, F.posexplode("raw").alias("_pos", "raw"))
+    value = F.when(F.col("is_u8"), unsigned(F.col("raw"))).otherwise(F.col("raw"))
+    seen = pixels.where(coverage.covered(value, F.col("source"), F.col("nodata"), F.col("is_u8")))
     return seen.select(
         "source", F.floor(F.col("_pos") / F.col("width")).cast("int").alias("row"), (F.col("_pos") % F.col("width")).alias("col")
     ).distinct()

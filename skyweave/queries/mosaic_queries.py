@@ -367,16 +367,11 @@ def masks(spark, sf_dir):
 
 
 def placed_masks(spark, sf_dir):
-    grid = Grid.of_shape(views.TARGET_EXTENT, 33, 37)
-    parts = []
-    for i, g in views.big_grids().items():
-        extent = (g.left, g.left + g.px * g.width, g.top - g.py * g.height, g.top)
-        one = masks(spark, sf_dir).where(F.col("source_id") == i)
-        parts.append(coverage.placed_mask(one, extent, (g.height, g.width), grid))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    grids = {
+        i: Grid.of_shape((g.left, g.left + g.px * g.width, g.top - g.py * g.height, g.top), g.height, g.width)
+        for i, g in views.big_grids().items()
+    }
+    return coverage.placed_masks(masks(spark, sf_dir), grids, Grid.of_shape(views.TARGET_EXTENT, 33, 37))
 
 
 MASKS = f"""{ctes.BIG}, mask AS (SELECT DISTINCT source_id, "row", col FROM big WHERE dbz >= 40 AND ("row" + col + source_id) % 7 <> 0),

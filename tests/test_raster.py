@@ -276,6 +276,13 @@ def test_masks(spark):
     assert image.count() == 400 and image.where("a = 0").count() == inside.count()
 
 
+def test_outside_markers(spark):
+    rows = [("dwd", 65535, 65535.0, False), ("dwd", 255, 65535.0, False), ("dwd", 255, None, False), ("shmu", 255, 7.0, True), ("shmu", 7, 7.0, True), ("arso", 255, None, True)]
+    df = spark.createDataFrame(rows, "source string, raw int, nodata double, is_u8 boolean")
+    got = [r[0] for r in df.select(coverage.covered(F.col("raw"), F.col("source"), F.col("nodata"), F.col("is_u8"))).collect()]
+    assert got == [False, True, False, False, True, True]
+
+
 def test_missing_masks_depend_on_the_composite(spark):
     src = spark.createDataFrame([("dwd",), ("shmu",)], "source string")
     have = spark.createDataFrame([("dwd",), ("composite",)], "source string")
