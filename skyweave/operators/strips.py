@@ -24,6 +24,24 @@ def strips(scans: DataFrame, carry: list[str]) -> DataFrame:
     return lines.select(*carry, "row", F.slice("raw", F.col("row") * width + 1, width).alias("raw"), "scaling", "is_u8")
 
 
+def cells(lines: DataFrame, carry: list[str]) -> DataFrame:
+    """Valid cells of strips: (carry, row, col, dbz)."""
+    opened = lines.select(*carry, "row", "scaling", "is_u8", F.posexplode("raw").alias("col", "_raw"))
+    return opened.select(*carry, "row", "col", _value().alias("dbz")).where("dbz is not null")
+
+
+def _value():
+    s = F.col("scaling")
+    return A.decode(F.col("_raw"), s["gain"], s["offset"], s["nodata"], s["undetect"], s["byte_rule"] & F.col("is_u8"))
+
+
+def write(lines: DataFrame, path: str) -> None:
+    """Strips at rest, with a date: small rows, and a line range of a raster is a row range of its files."""
+    lines.repartition("source", "date", "ts").sortWithinPartitions("source", "date", "ts", "row").write.mode("append").partitionBy(
+        "source", "date"
+    ).parquet(path)
+
+
 def block_mosaic(
     lines: DataFrame, grids: dict[str, SourceGrid], dst: Grid, keys: list[str], strategy: str = "max", block_lines: int = 16
 ) -> DataFrame:
@@ -59,10 +77,8 @@ def block_mosaic(
     begin = F.greatest("_from", F.col("_block") * block_lines)
     end = F.least("_to", F.col("_block") * block_lines + (block_lines - 1))
     placed_lines = routed.withColumn("dst_row", F.explode(F.sequence(begin, end))).where(F.floor((top - lat) / py) == F.col("row"))
-    s = F.col("scaling")
-    value = A.decode(F.col("_raw"), s["gain"], s["offset"], s["nodata"], s["undetect"], s["byte_rule"] & F.col("is_u8"))
-    cells = placed_lines.select(*keys, "_block", "source", "_sid", "dst_row", "scaling", "is_u8", F.posexplode("raw").alias("_col", "_raw"))
-    valid = cells.select(*keys, "_block", "_sid", "dst_row", "_col", value.alias("dbz")).where("dbz is not null")
+    opened = placed_lines.select(*keys, "_block", "_sid", "dst_row", "scaling", "is_u8", F.posexplode("raw").alias("_col", "_raw"))
+    valid = opened.select(*keys, "_block", "_sid", "dst_row", "_col", _value().alias("dbz")).where("dbz is not null")
     x_of = lambda at: (mercator(left + at * px, F.lit(0.0))[0] - dst.west) / dst.dx - 0.5
     col = F.col("_col")
     placed = unfold(valid, "dst_col", F.floor(x_of(col)).cast("int"), F.ceil(x_of(col + 1)).cast("int"), dst.width).where(

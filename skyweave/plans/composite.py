@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from ..dimensions import LATEST_ONLY_SOURCE, MIN_CORE_SOURCES, REPROCESS_COUNT, TOLERANCE_MINUTES
 from ..functions.proj import Grid
-from ..operators import align, health, mosaic
+from ..operators import align, health, mosaic, strips
 from ..operators.regrid import SourceGrid
-from ..operators.strips import block_mosaic, strips
-from ..sources import scans as S
 from ..sources import sinks
 from .placing import place
 
@@ -40,7 +38,7 @@ def latest(
     """Mosaics of the newest matched slots.
 
     ``catalog(source, ts, timestamp)`` has a row per landed scan and decides everything; ``scans`` are the
-    standard scans of ``sources.scans`` with their pixels. Availability -> matching by the fallback ladder -> slots already published drop out -> quorum after the
+    standard scans of ``sources.scans`` with their pixels, or the strips made of them. Availability -> matching by the fallback ladder -> slots already published drop out -> quorum after the
     sources in outage are gone -> only then are pixels read. What selects them is at most ``max_count`` slots
     with one scan per source, so it is broadcast.
     """
@@ -86,11 +84,11 @@ def backload(
 def _mosaic(scans, chosen, availability, grids, dst, strategy, small: bool) -> Composite:
     wanted = F.broadcast(chosen) if small else chosen
     picked = scans.join(wanted, ["source", "ts"])
+    lines = picked if "row" in scans.columns else strips.strips(picked, ["source", "slot"])
     if all(g.projection.family == "longlat" for g in grids.values()):
-        merged = block_mosaic(strips(picked, ["source", "slot"]), grids, dst, ["slot"], strategy)
+        merged = strips.block_mosaic(lines, grids, dst, ["slot"], strategy)
         return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells))
-    cells = S.cells(picked, ["source", "slot"])
-    placed = place(cells, grids, dst)
+    placed = place(strips.cells(lines, ["source", "slot"]), grids, dst)
     if strategy == "priority":
         order = F.array_position(F.array(*(F.lit(s) for s in grids)), F.col("source"))
         placed = placed.withColumn("priority", order)

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..dimensions import SRD_CELLS, SRD_OFFSET, SRD_REFERENCE_CELL, SRD_SLOPE, SRD_START
+from ..dimensions import SRD_CELLS, SRD_OFFSET, SRD_PROJECTION, SRD_REFERENCE_CELL, SRD_SLOPE, SRD_START
 from ..functions.attrs import decode_level, srd_units, typed
 from ..functions.proj import Projection, to_lonlat
 from ..functions.timefn import srd_stamp
 
-# fixed value: the grid's own projection
-SRD_PROJECTION = "+proj=lcc +lat_1=46.12 +lat_2=46.12 +lat_0=46.12 +lon_0=14.815 +x_0=0 +y_0=0 +R=6371000 +units=km +no_defs"
-
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, content) of text-grid files; one byte is one character."""

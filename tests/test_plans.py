@@ -69,6 +69,25 @@ def test_strategies_agree_on_equal_scans(spark):
         assert got == {18.0}, name
 
 
+def test_strips_at_rest_and_mixed_projections(spark, tmp_path):
+    """Stored strips give the same mosaic as scans, also when one service needs the cell way."""
+    from skyweave.functions.proj import Projection
+    from skyweave.operators import strips
+
+    rows = [(s, "12:00", v) for s, v in (("dwd", 80), ("shmu", 90), ("chmi", 100))]
+    catalog, scans = landed(spark, rows)
+    lines = strips.strips(scans, ["source", "ts"]).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+    strips.write(lines, str(tmp_path / "strips"))
+    stored = spark.read.parquet(str(tmp_path / "strips"))
+    at = F.to_timestamp(F.lit("2025-01-28 12:10:00"))
+    merc = SourceGrid(1_100_000.0, 6_300_000.0, 60_000.0, 60_000.0, 8, 8, Projection("merc", a=6378137.0))
+    for grids in (GRIDS, {**GRIDS, "chmi": merc}):
+        a = composite.latest(catalog, scans, grids, DST, at).cells
+        b = composite.latest(catalog, stored, grids, DST, at).cells
+        assert a.count() > 40 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert 18.0 in {r.dbz for r in a.collect()}
+
+
 def test_backload_needs_every_archived_source(spark):
     five = ("dwd", "shmu", "chmi", "omsz", "imgw")
     rows = [(s, "12:00", 80) for s in five] + [(s, "12:05", 80) for s in five[:4]] + [("arso", "12:05", 80)]
