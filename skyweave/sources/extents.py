@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..dimensions import SOURCE_EXTENTS
 from ..schema import EXTENT
+from . import srd
 
 DOCUMENT = f"struct<wgs84:{EXTENT},extent:struct<wgs84:{EXTENT}>,source:struct<extent:{EXTENT}>>"
 
@@ -48,6 +50,13 @@ def combined_report(extents: DataFrame) -> DataFrame:
     )
 
 
+def source_extents(spark: SparkSession) -> DataFrame:
+    """Known extent of every service (source, extent); that of the text-grid service follows from its grid."""
+    known = spark.createDataFrame([(n, e) for n, e in SOURCE_EXTENTS.items()], f"source string, extent {EXTENT}")
+    grid = srd.grid_extent(spark).select(F.lit("arso").alias("source"), F.struct("west", "east", "south", "north").alias("extent"))
+    return known.unionByName(grid)
+
+
 def save(current: DataFrame, incoming: DataFrame, force: bool = False) -> DataFrame:
     """Documents after a save: an existing one stays unless forced. ``(source, document)``, one row per source."""
     loser, winner = (current, incoming) if force else (incoming, current)

@@ -83,3 +83,13 @@ def cell_lonlat(row: Column, col: Column) -> tuple[Column, Column]:
     """Lon/lat of a text-grid cell: kilometres from the reference cell, then the inverse cone."""
     i, j = SRD_REFERENCE_CELL
     return to_lonlat(Projection.of(SRD_PROJECTION), (col + 1 - i).cast("double"), (F.lit(j) - (row + 1)).cast("double"))
+
+
+def grid_extent(spark: SparkSession) -> DataFrame:
+    """Extent of the default grid: the cone makes its edges curves, so all cells count. One row."""
+    width, height = SRD_CELLS
+    cells = spark.range(width * height).select(F.floor(F.col("id") / width).alias("row"), (F.col("id") % width).alias("col"))
+    lon, lat = cell_lonlat(F.col("row"), F.col("col"))
+    return cells.select(lon.alias("lon"), lat.alias("lat")).agg(
+        F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north")
+    )

@@ -88,6 +88,17 @@ def test_extent_documents_round_trip_and_save(spark):
     assert extents.save(one("old"), one("new"), force=True).first().document == "new"
 
 
+def test_report_of_all_services(spark):
+    import json
+
+    row = extents.combined_report(extents.source_extents(spark)).first()
+    doc = json.loads(row.document)
+    assert row.n_sources == 6 and set(doc["sources"]) == {"dwd", "shmu", "chmi", "omsz", "arso", "imgw"}
+    assert (row.combined.west, row.combined.east, row.combined.north) == (1.461077, 26.376516, 56.398335)
+    arso = doc["sources"]["arso"]
+    assert 12.0 < arso["west"] < 12.3 and 17.2 < arso["east"] < 17.5 and 44.6 < arso["south"] < 44.8 and 47.3 < arso["north"] < 47.5
+
+
 def test_output_names_and_manifest(spark, ts, tmp_path):
     slots = ts([("dwd", "12:00"), ("other", "12:05")])
     got = {r.folder: r.name for r in sinks.located(slots).collect()}
