@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .token_counts import op6_token_counts
+from .simhash import op2_simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_groups": op2_simhash_groups,
     "op6_token_counts": op6_token_counts,
 }
 ORACLES: dict[str, str] = {}
