@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .token_counts import op6_token_counts
 from .simhash import op2_simhash_groups
 from .outliers import op5_quality_outliers
+from .private_data import op10_private_data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_private_data": op10_private_data,
     "op5_quality_outliers": op5_quality_outliers,
     "op2_simhash_groups": op2_simhash_groups,
     "op6_token_counts": op6_token_counts,
