@@ -10,8 +10,10 @@ from .token_counts import op6_token_counts
 from .simhash import op2_simhash_groups
 from .outliers import op5_quality_outliers
 from .private_data import op10_private_data
+from .contamination import op3_benchmark_matches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_benchmark_matches": op3_benchmark_matches,
     "op10_private_data": op10_private_data,
     "op5_quality_outliers": op5_quality_outliers,
     "op2_simhash_groups": op2_simhash_groups,
