@@ -11,8 +11,10 @@ from .simhash import op2_simhash_groups
 from .outliers import op5_quality_outliers
 from .private_data import op10_private_data
 from .contamination import op3_benchmark_matches
+from .piece_encoding import op7_piece_encoding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_piece_encoding": op7_piece_encoding,
     "op3_benchmark_matches": op3_benchmark_matches,
     "op10_private_data": op10_private_data,
     "op5_quality_outliers": op5_quality_outliers,
