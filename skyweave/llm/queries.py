@@ -12,8 +12,10 @@ from .outliers import op5_quality_outliers
 from .private_data import op10_private_data
 from .contamination import op3_benchmark_matches
 from .piece_encoding import op7_piece_encoding
+from .lm_scoring import op1_lm_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": op1_lm_scores,
     "op7_piece_encoding": op7_piece_encoding,
     "op3_benchmark_matches": op3_benchmark_matches,
     "op10_private_data": op10_private_data,
