@@ -13,8 +13,10 @@ from .private_data import op10_private_data
 from .contamination import op3_benchmark_matches
 from .piece_encoding import op7_piece_encoding
 from .lm_scoring import op1_lm_scores
+from .ordinal_quality import op9_ordinal_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_ordinal_quality": op9_ordinal_quality,
     "op1_lm_scores": op1_lm_scores,
     "op7_piece_encoding": op7_piece_encoding,
     "op3_benchmark_matches": op3_benchmark_matches,
