@@ -14,8 +14,10 @@ from .contamination import op3_benchmark_matches
 from .piece_encoding import op7_piece_encoding
 from .lm_scoring import op1_lm_scores
 from .ordinal_quality import op9_ordinal_quality
+from .repeated_bytes import op4_repeated_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_repeated_bytes": op4_repeated_bytes,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op1_lm_scores": op1_lm_scores,
     "op7_piece_encoding": op7_piece_encoding,
