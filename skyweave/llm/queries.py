@@ -15,8 +15,10 @@ from .piece_encoding import op7_piece_encoding
 from .lm_scoring import op1_lm_scores
 from .ordinal_quality import op9_ordinal_quality
 from .repeated_bytes import op4_repeated_bytes
+from .quotation_threads import op8_quotation_threads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_quotation_threads": op8_quotation_threads,
     "op4_repeated_bytes": op4_repeated_bytes,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op1_lm_scores": op1_lm_scores,
