@@ -103,8 +103,8 @@ def suffix_sort(hashed: Hashes, at: np.ndarray, size: int) -> np.ndarray:
     """Order of the suffixes at ``at``, each ``size`` bytes long: a bottom-up mergesort.
 
     All runs of a level are merged at once: each suffix finds its rank in the sibling run by binary search. A comparison
-    takes the common extension from prefix hashes, in log2(size) steps, and then the byte after it; if that byte is the
-    same too, or if the extension is whole, the bytes themselves are compared (hashes may collide, bytes may not).
+    takes the common extension from prefix hashes, in log2(size) steps, and then the byte after it. Hashes may collide, so
+    the bytes of all neighbours are compared in the end; if any stand in the wrong order, the bytes are sorted instead.
     """
     n = len(at)
     order = np.arange(n)
@@ -115,12 +115,7 @@ def suffix_sort(hashed: Hashes, at: np.ndarray, size: int) -> np.ndarray:
         long = hashed.common(a, b, most[: len(a)])
         inside = np.minimum(long, size - 1)
         x, y = hashed.data[a + inside].astype(np.int16), hashed.data[b + inside].astype(np.int16)
-        out = np.where(x != y, x < y, equal)
-        odd = np.flatnonzero((long < size) & (x == y))
-        for i in odd:  # a collision within the extension
-            p, q = hashed.data[a[i] : a[i] + size].tobytes(), hashed.data[b[i] : b[i] + size].tobytes()
-            out[i] = p < q or (equal and p == q)
-        return out
+        return np.where(x != y, x < y, equal)
 
     width = 1
     while width < n:
@@ -146,4 +141,27 @@ def suffix_sort(hashed: Hashes, at: np.ndarray, size: int) -> np.ndarray:
         merged[rank] = order
         order = merged
         width *= 2
-    return order
+    return order if n < 2 or in_order(hashed.data, at[order], size) else sorted_bytes(hashed.data, at, size)
+
+
+def words(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` bytes from each place on as rows of big-endian numbers, which order as the bytes do."""
+    wide = -(-size // 8) * 8
+    rows = np.zeros((len(at), wide), np.uint8)
+    rows[:, :size] = data[at[:, None] + np.arange(size)]
+    return rows.view(">u8").astype(np.uint64)
+
+
+def in_order(data: np.ndarray, at: np.ndarray, size: int) -> bool:
+    for begin in range(0, len(at) - 1, 1 << 17):
+        rows = words(data, at[begin : begin + (1 << 17) + 1], size)
+        differ = rows[1:] != rows[:-1]
+        first = differ.argmax(1)
+        place = np.arange(len(first))
+        if (differ.any(1) & (rows[1:][place, first] < rows[:-1][place, first])).any():
+            return False
+    return True
+
+
+def sorted_bytes(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    return np.lexsort(words(data, at, size).T[::-1])
