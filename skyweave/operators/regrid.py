@@ -40,7 +40,9 @@ class SourceGrid:
     @staticmethod
     def of_centres(west, east, south, north, height, width, projection=Projection("longlat")) -> "SourceGrid":
         """From the outline of the outermost cell centres."""
-        px, py = (east - west) / (width - 1), (north - south) / (height - 1)
+        px = (east - west) / (width - 1) if width > 1 else 0.0
+        py = (north - south) / (height - 1) if height > 1 else 0.0
+        px, py = px or py or 1.0, py or px or 1.0  # one row or column: cells as wide as they are high
         return SourceGrid(west - px / 2, north + py / 2, px, py, height, width, projection)
 
     @staticmethod
@@ -232,6 +234,8 @@ def bilinear(cells: DataFrame, keys: list[str], src: SourceGrid, rows: tuple[flo
     def reach(index: Column, n: int, first: float, step_src: float, origin: float, step_dst: float, count: int):
         low = F.when(index == 0, F.lit(-1e9)).otherwise(index - 1.0)
         high = F.when(index == n - 1, F.lit(1e9)).otherwise(index + 1.0)
+        if step_dst == 0:  # one target row or column: every source cell may reach it, and its weight decides
+            return F.lit(0), F.lit(count - 1)
         a = F.floor((low * step_src + first - origin) / step_dst)
         b = F.ceil((high * step_src + first - origin) / step_dst)
         return F.greatest(F.least(a, b), F.lit(0)).cast("int"), F.least(F.greatest(a, b), F.lit(count - 1)).cast("int")

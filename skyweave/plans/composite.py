@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ class Composite:
     slots: DataFrame  # slot, source, ts of the scans used
     cells: DataFrame  # slot, dst_row, dst_col, dbz
     statistics: DataFrame
+    skipped: DataFrame  # slot, reason: matched in the catalog, but too few of their scans can be read
 
 
 def latest(
@@ -59,7 +61,13 @@ def latest(
         used = used.withColumn("name", sinks.output_name(F.col("slot"))).join(names, "name", "left_anti").drop("name")
     quorum = used.groupBy("slot").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_core).select("slot")
     chosen = used.join(quorum, "slot", "left_semi").select("slot", "source", "ts")
-    return _mosaic(scans, chosen, availability, grids, dst, strategy, small=True)
+    # at most max_count slots with one scan per source: known before the scans are read, so that their days prune them
+    rows = chosen.collect()
+    chosen = scans.sparkSession.createDataFrame(rows, chosen.schema)
+    if "date" in scans.columns:
+        days = sorted({d for r in rows for d in _days(r["ts"])})
+        scans = scans.where(F.col("source").isin(sorted({r["source"] for r in rows})) & F.col("date").isin(days))
+    return _mosaic(scans, chosen, availability, grids, dst, strategy, min_core, small=True)
 
 
 def backload(
@@ -78,16 +86,38 @@ def backload(
     slots = align.exact_slots(inside, sources).where(F.col("n_sources") >= min_sources)
     chosen = slots.select(F.col("ts").alias("slot"), F.explode(F.array(*(F.lit(s) for s in sources))).alias("source"), "ts")
     availability = health.outages(inside, end, sources)
-    return _mosaic(scans, chosen, availability, {s: grids[s] for s in sources}, dst, strategy, small=False)
+    if "date" in scans.columns:
+        day = lambda c, off: F.date_format(F.date_add(c, off), "yyyy-MM-dd")
+        scans = scans.where(F.col("source").isin(sources) & F.col("date").between(day(start, -1), day(end, 1)))
+    return _mosaic(scans, chosen, availability, {s: grids[s] for s in sources}, dst, strategy, min_sources, small=False)
 
 
-def _mosaic(scans, chosen, availability, grids, dst, strategy, small: bool) -> Composite:
+def _days(ts) -> list[str]:
+    """The day of a stamp and its neighbours: a scan may land on the other side of midnight."""
+    return [(ts + timedelta(days=d)).strftime("%Y-%m-%d") for d in (-1, 0, 1)]
+
+
+def readable(scans: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, DataFrame]:
+    """The chosen scans that are there, of slots with at least ``need`` of them; the other slots with the reason.
+
+    Only keys are read.
+    """
+    there = chosen.join(scans.select("source", "ts").distinct(), ["source", "ts"], "left_semi").select("slot", "source", "ts")
+    counts = there.groupBy("slot").agg(F.count_distinct("source").alias("_n"))
+    slots = chosen.select("slot").distinct().join(counts, "slot", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    reason = F.concat(F.lit("insufficient: "), F.col("_n").cast("string"), F.lit(f" of {need} sources readable"))
+    good = slots.where(F.col("_n") >= need).select("slot")
+    return there.join(good, "slot", "left_semi").select("slot", "source", "ts"), slots.where(F.col("_n") < need).select("slot", reason.alias("reason"))
+
+
+def _mosaic(scans, chosen, availability, grids, dst, strategy, need: int, small: bool) -> Composite:
+    chosen, skipped = readable(scans, chosen, need)
     wanted = F.broadcast(chosen) if small else chosen
     picked = scans.join(wanted, ["source", "ts"])
     lines = picked if "row" in scans.columns else strips.strips(picked, ["source", "slot"])
     if all(g.projection.family == "longlat" for g in grids.values()):
         merged = strips.block_mosaic(lines, grids, dst, ["slot"], strategy)
-        return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells))
+        return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells), skipped)
     placed = place(strips.cells(lines, ["source", "slot"]), grids, dst)
     if strategy == "priority":
         order = F.array_position(F.array(*(F.lit(s) for s in grids)), F.col("source"))
@@ -96,4 +126,4 @@ def _mosaic(scans, chosen, availability, grids, dst, strategy, small: bool) -> C
         lon, lat = dst.centre_lonlat(F.col("dst_row"), F.col("dst_col"))
         placed = placed.withColumn("weight", mosaic.distance_weight(F.col("source"), lon, lat, F.col("dbz")))
     merged = mosaic.merge(placed, ["slot"], strategy)
-    return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells))
+    return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells), skipped)

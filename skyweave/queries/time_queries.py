@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import views
-from ..dimensions import CORE_SOURCES, SOURCE_NAMES
+from ..dimensions import BACKLOAD_CAP, CORE_SOURCES, SOURCE_NAMES
 from ..functions import timefn as T
 from ..operators import align, health
 from ..sources import catalog as C
@@ -177,7 +177,7 @@ SELECT source, least(CAST(epoch(b) - epoch(a) AS BIGINT) // 300, 100) AS capped,
 def k3_backload_counts(spark, sf_dir):
     span = views.scan_catalog(spark, sf_dir).groupBy("source").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     a, b = F.col("a"), F.col("b")
-    return span.select("source", C.backload_count(a, b).alias("capped"), C.backload_count(a, b, None, True).alias("uncapped"))
+    return span.select("source", C.backload_count(a, b, BACKLOAD_CAP).alias("capped"), C.backload_count(a, b, None, True).alias("uncapped"))
 
 
 # --- alignment ------------------------------------------------------------------------------------

@@ -50,9 +50,11 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "skywe
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; a fresh one only if unset (tests)."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``; a fresh one only if unset in a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="skyweave-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

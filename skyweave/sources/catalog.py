@@ -49,8 +49,9 @@ def period(now: Column, from_time: str | None = None, to_time: str | None = None
     return now - F.make_dt_interval(mins=F.lit(minutes)), now
 
 
-def backload_count(start: Column, end: Column, cap: int | None = 100, inclusive: bool = False) -> Column:
-    """How many five-minute scans a backload asks for: capped for one source, uncapped and one more for mosaics."""
+def backload_count(start: Column, end: Column, cap: int | None = None, inclusive: bool = False) -> Column:
+    """How many five-minute scans a backload asks for; one more for mosaics, which take both ends. ``cap`` is a wish of the
+    caller: ``steps - cap`` scans are then left out, and are counted by a call without it."""
     steps = F.floor((F.unix_timestamp(end) - F.unix_timestamp(start)) / 300) + (1 if inclusive else 0)
     return steps if cap is None else F.least(steps, F.lit(cap))
 

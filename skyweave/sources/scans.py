@@ -14,7 +14,9 @@ from ..schema import RAW_SCAN
 
 
 def read_landed(spark: SparkSession, path: str, source: str | None = None, start: Column | None = None, end: Column | None = None) -> DataFrame:
-    """Landed raw scans, partitioned by source and date; both filters prune partitions before any pixel is read."""
+    """Landed raw scans, partitioned by source and date; both filters prune partitions before any pixel is read.
+
+    The period is that of whole days here, as a scan's stamp is known only to its reader: ``read_scans`` applies it."""
     scans = spark.read.schema(RAW_SCAN).parquet(path)
     if source is not None:
         scans = scans.where(F.col("source") == source)
@@ -96,8 +98,14 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def read_scans(spark: SparkSession, path: str, source: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
-    return READERS[source](read_landed(spark, path, source, start, end))
+def read_scans(
+    spark: SparkSession, path: str, source: str, start: Column | None = None, end: Column | None = None, products: list[str] | None = None
+) -> DataFrame:
+    """Scans of one source in an inclusive period, of the named products; days outside are not opened."""
+    scans = READERS[source](read_landed(spark, path, source, start, end))
+    if start is not None and end is not None:
+        scans = scans.where(F.col("ts").between(start, end))
+    return scans if products is None else scans.where(F.col("product").isin(products))
 
 
 def metadata(scans: DataFrame) -> DataFrame:

@@ -97,19 +97,23 @@ def new_slots_writer(path: str, manifest_path: str):
     return write
 
 
-def ladder_writer(path: str, catalog_path: str, horizon_minutes: int = 60):
+def ladder_writer(path: str, catalog_path: str):
     """foreachBatch sink: keep the scans of the batch, then match the recent slots by the fallback ladder.
 
-    The catalog is re-read from its table, of which only the last ``horizon_minutes`` take part.
+    A slot is matched anew when a scan of its hour or the hours beside it has come: scans further away are out of every
+    tolerance. The catalog is partitioned by hour, so only those hours are read back. A stamp far in the future makes
+    slots of its own and takes no other scan out.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        batch.select("source", "ts").write.mode("overwrite").parquet(f"{catalog_path}/batch={batch_id}")
-        known = session.read.parquet(catalog_path).where(F.col("batch") <= batch_id)
-        newest = known.select(F.max("ts")).scalar()
-        recent = known.where(F.col("ts") >= newest - F.make_dt_interval(mins=F.lit(horizon_minutes))).select("source", "ts").distinct()
-        matched = ladder_slots(recent, recent.select("source").distinct())
+        hour = F.floor(F.unix_timestamp("ts") / 3600)
+        arrived = batch.select("source", "ts", hour.alias("hour"))
+        arrived.write.mode("overwrite").partitionBy("hour").parquet(f"{catalog_path}/batch={batch_id}")
+        known = session.read.option("basePath", catalog_path).schema("source string, ts timestamp, batch long, hour long").parquet(catalog_path)
+        touched = arrived.select(F.explode(F.array(F.col("hour") - 1, F.col("hour"), F.col("hour") + 1)).alias("hour")).distinct()
+        near = known.where(F.col("batch") <= batch_id).join(touched, "hour", "left_semi").select("source", "ts").distinct()
+        matched = ladder_slots(near, near.select("source").distinct())
         matched.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write

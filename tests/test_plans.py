@@ -95,3 +95,35 @@ def test_backload_needs_every_archived_source(spark):
     at = lambda t: F.to_timestamp(F.lit(f"2025-01-28 {t}:00"))
     made = composite.backload(catalog, scans, GRIDS, DST, at("11:00"), at("13:00"))
     assert {t for t, _ in slots(made)} == {"12:00"} and np.isclose(made.statistics.first().coverage_percent, 100.0)
+
+
+def test_slots_whose_scans_cannot_be_read_are_skipped_with_a_reason(spark):
+    catalog, scans = landed(spark, [(s, t, 80) for t in ("12:00", "12:05") for s in ("dwd", "shmu", "chmi")])
+    at = F.to_timestamp(F.lit("2025-01-28 12:10:00"))
+    gone = scans.where("not (source = 'chmi' and minute(ts) = 5)")
+    made = composite.latest(catalog, gone, GRIDS, DST, at)
+    assert {t for t, _ in slots(made)} == {"12:00"}
+    assert {r.slot.strftime("%H:%M") for r in made.cells.select("slot").distinct().collect()} == {"12:00"}
+    assert [(r.slot.strftime("%H:%M"), r.reason) for r in made.skipped.collect()] == [("12:05", "insufficient: 2 of 3 sources readable")]
+
+
+def test_backload_skips_a_slot_with_one_readable_scan(spark):
+    five = ("dwd", "shmu", "chmi", "omsz", "imgw")
+    catalog, scans = landed(spark, [(s, "12:00", 80) for s in five])
+    at = lambda t: F.to_timestamp(F.lit(f"2025-01-28 {t}:00"))
+    made = composite.backload(catalog, scans.where("source = 'dwd'"), GRIDS, DST, at("11:00"), at("13:00"))
+    assert made.slots.count() == 0 and made.cells.count() == 0 and made.skipped.count() == 1
+
+
+def test_pixels_of_other_days_are_not_opened(spark, tmp_path):
+    catalog, scans = landed(spark, [(s, "12:00", 80) for s in ("dwd", "shmu", "chmi")])
+    dated = scans.withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+    old = scans.withColumn("date", F.lit("2024-06-01")).withColumn("ts", F.col("ts") - F.expr("interval 240 days"))
+    dated.unionByName(old).write.partitionBy("source", "date").parquet(str(tmp_path / "scans"))
+    stored = spark.read.parquet(str(tmp_path / "scans"))
+    at = F.to_timestamp(F.lit("2025-01-28 12:10:00"))
+    made = composite.latest(catalog, stored, GRIDS, DST, at)
+    assert made.cells.count() > 0
+    plan = made.cells._jdf.queryExecution().executedPlan().toString()
+    scans_of = [line for line in plan.splitlines() if "FileScan parquet" in line and "raw" in line]
+    assert scans_of and all("date" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] for line in scans_of)

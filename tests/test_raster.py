@@ -291,3 +291,22 @@ def test_missing_masks_depend_on_the_composite(spark):
     assert todo(have, True) == {"shmu"}
     assert todo(have, False) == set()
     assert todo(none, False) == {"dwd", "shmu", "composite"}
+
+
+def test_bilinear_on_one_target_row(spark):
+    from pyspark.sql import functions as F
+
+    from skyweave.operators.regrid import SourceGrid, bilinear
+
+    src = SourceGrid.of_centres(0.0, 3.0, 0.0, 3.0, 4, 4)
+    cells = spark.range(16).select(F.lit(1).alias("k"), (F.col("id") / 4).cast("int").alias("row"), (F.col("id") % 4).cast("int").alias("col"), F.col("id").cast("double").alias("dbz"))
+    many = {(r.dst_row, r.dst_col): r.dbz for r in bilinear(cells, ["k"], src, (2.5, 0.5, 3), (0.25, 2.75, 6)).collect()}
+    one = {(r.dst_row, r.dst_col): r.dbz for r in bilinear(cells, ["k"], src, (2.5, 2.5, 1), (0.25, 2.75, 6)).collect()}
+    assert one and all(abs(many[0, c] - v) < 1e-9 for (_, c), v in one.items()) and len(one) == 6
+
+
+def test_centres_of_one_row_or_column():
+    from skyweave.operators.regrid import SourceGrid
+
+    assert SourceGrid.of_centres(0.0, 3.0, 5.0, 5.0, 1, 4).py == 1.0
+    assert SourceGrid.of_centres(2.0, 2.0, 5.0, 5.0, 1, 1).px == 1.0

@@ -130,3 +130,20 @@ def test_a_new_source_is_one_reader(spark, data):
         assert scans.cells(scans.READERS["test"](scan), ["scan_id"]).count() > 0
     finally:
         del scans.READERS["test"]
+
+
+def test_a_period_inside_a_day_and_a_product(spark, data, tmp_path):
+    from pyspark.sql import functions as F
+
+    from skyweave import views
+    from skyweave.sources import scans as S
+
+    landed = views.landed(spark, data).where("source = 'shmu'")
+    S.write_landed(landed.select(spark.createDataFrame([], S.RAW_SCAN).columns), str(tmp_path / "landed"))
+    every = S.read_shmu(landed).select("ts", "product").collect()
+    lo, hi = sorted(r.ts for r in every)[len(every) // 4], sorted(r.ts for r in every)[len(every) // 2]
+    got = S.read_scans(spark, str(tmp_path / "landed"), "shmu", F.lit(lo), F.lit(hi))
+    assert got.count() == sum(lo <= r.ts <= hi for r in every) > 0
+    product = every[0].product
+    one = S.read_scans(spark, str(tmp_path / "landed"), "shmu", F.lit(lo), F.lit(hi), [product])
+    assert one.count() == sum(lo <= r.ts <= hi and r.product == product for r in every)
