@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from skyweave.llm import contamination, quotation_threads
+from skyweave.llm import contamination, quotation_threads, sql
 
 from .conftest import prose
 
@@ -73,6 +73,13 @@ def test_threads(spark):
     assert sorted(r.position for r in got if r.conv_id == 2) == [0, 1]
     assert len(got) == len(rows) and {r.role for r in got if r.conv_id is None} == {"unknown"}
     assert quotation_threads.threads(df.where("false")).count() == 0
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    twin = con.execute(sql.QUOTATION_THREADS)
+    at = {c[0]: i for i, c in enumerate(twin.description)}
+    assert sorted(str(tuple(r[at[c]] for c in got[0].__fields__)) for r in twin.fetchall()) == sorted(str(tuple(r)) for r in got)
 
 
 def test_long_threads_and_buckets(spark, monkeypatch):
