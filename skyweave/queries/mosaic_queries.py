@@ -8,6 +8,7 @@ from .. import views
 from ..functions.colour import covered_of_alpha
 from ..functions.proj import Grid
 from ..operators import coverage, mosaic, regrid
+from ..session import join_sized
 from . import ctes
 from .registry import query, r6
 
@@ -255,7 +256,7 @@ def j6_grid_map(spark, sf_dir):
     grids, target = views.small_grids(), views.small_target()
     used = views.cells(spark, sf_dir).groupBy("source_id", "row", "col").agg(F.count(F.lit(1)).alias("uses"))
     mapping = regrid.grid_map(spark, grids, target)
-    return used.join(F.broadcast(mapping), ["source_id", "row", "col"])  # at most 6 x 14 x 14 rows
+    return join_sized(used, mapping, ["source_id", "row", "col"], len(grids) * target.cells)
 
 
 @query(
@@ -272,8 +273,9 @@ def j6_edge_round_map(spark, sf_dir):
     further west here, so that no column index falls on a half."""
     grids = {i: regrid.SourceGrid(g.left - 0.05, g.top, g.px, g.py, g.height, g.width) for i, g in views.small_grids().items()}
     used = views.cells(spark, sf_dir).groupBy("source_id", "row", "col").agg(F.count(F.lit(1)).alias("uses"))
-    mapping = regrid.grid_map(spark, grids, views.small_target(), "edge_round")
-    return used.join(F.broadcast(mapping), ["source_id", "row", "col"])
+    target = views.small_target()
+    mapping = regrid.grid_map(spark, grids, target, "edge_round")
+    return join_sized(used, mapping, ["source_id", "row", "col"], len(grids) * target.cells)
 
 
 @query(

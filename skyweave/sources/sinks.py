@@ -26,11 +26,11 @@ def located(rows: DataFrame, source: str = "source", ts: str = "ts") -> DataFram
     )
 
 
-def write_mosaic(cells: DataFrame, path: str, mode: str = "append") -> None:
-    """Cells of mosaics as a table partitioned by source and date, rows of a slot kept together."""
-    located(cells).repartition("source", "date", "unix").write.mode(mode).option(
+def write_mosaic(cells: DataFrame, path: str) -> None:
+    """Cells of mosaics as a table partitioned by source, date and slot. A slot written again replaces what it had."""
+    located(cells).repartition("source", "date", "unix").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("source", "date").parquet(path)
+    ).partitionBy("source", "date", "unix").parquet(path)
 
 
 def not_yet_written(slots: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -106,7 +106,9 @@ def test_output_names_and_manifest(spark, ts, tmp_path):
     manifest = spark.createDataFrame([("germany", "1738065600.png")], "folder string, name string")
     assert [r.source for r in sinks.not_yet_written(slots, manifest).collect()] == ["other"]
     sinks.write_mosaic(slots.withColumn("dbz", F.lit(1.0)), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).where("source = 'dwd' and date = '2025-01-28'").count() == 1
+    sinks.write_mosaic(slots.where("source = 'dwd'").withColumn("dbz", F.lit(2.0)), str(tmp_path / "out"))  # once more
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert [r.dbz for r in out.where("source = 'dwd' and date = '2025-01-28'").collect()] == [2.0] and out.count() == 2
 
 
 def test_results_of_failed_fetches(spark):
