@@ -3,8 +3,10 @@
 REPEATED_BYTES = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 n AS (SELECT r, doc_id, x, CAST(length(x) // 2 AS BIGINT) AS n FROM d),
-p AS (SELECT r, doc_id, n, unnest(range(n)) AS i, x FROM n),
-w AS (SELECT r, doc_id, i, substr(x, 2 * i + 1, 2) AS b, CASE WHEN i <= n - 50 THEN substr(x, 2 * i + 1, 100) END AS s FROM p),
+a AS (SELECT r, doc_id, n, x, unnest(range((n + 255) // 256)) AS k FROM n),
+e AS (SELECT r, doc_id, n, k, substr(x, 512 * k + 1, 610) AS x FROM a),
+p AS (SELECT r, doc_id, n, k, x, unnest(range(least(256, n - 256 * k))) AS j FROM e),
+w AS (SELECT r, doc_id, 256 * k + j AS i, substr(x, 2 * j + 1, 2) AS b, CASE WHEN 256 * k + j <= n - 50 THEN substr(x, 2 * j + 1, 100) END AS s FROM p),
 f AS (SELECT s, min(doc_id) AS first FROM w WHERE s IS NOT NULL GROUP BY s),
 m AS (SELECT w.r, w.i, w.b, f.first IS NOT NULL AND (w.doc_id IS NULL OR f.first < w.doc_id) AS hit FROM w LEFT JOIN f USING (s)),
 c AS (SELECT r, i, b, max(CAST(hit AS INT)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS gone FROM m),
