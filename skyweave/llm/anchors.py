@@ -99,49 +99,59 @@ def anchors(hashed: Hashes, starts: np.ndarray, ends: np.ndarray, window: int, g
     return at[begin], windows[begin], windows[stop]
 
 
-def suffix_sort(hashed: Hashes, at: np.ndarray, size: int) -> np.ndarray:
-    """Order of the suffixes at ``at``, each ``size`` bytes long: a bottom-up mergesort.
+def suffix_sort(hashed: Hashes, at: np.ndarray, size: int, group: np.ndarray | None = None) -> np.ndarray:
+    """Order of the suffixes at ``at``, each ``size`` bytes long, by ``group`` and then by bytes: a bottom-up mergesort.
 
-    All runs of a level are merged at once: each suffix finds its rank in the sibling run by binary search. A comparison
+    All runs of a level are merged at once: each suffix finds its rank in the sibling run by binary search. Groups lie one
+    after the other, so only those that reach over a boundary between two runs have to be merged there. A comparison
     takes the common extension from prefix hashes, in log2(size) steps, and then the byte after it. Hashes may collide, so
     the bytes of all neighbours are compared in the end; if any stand in the wrong order, the bytes are sorted instead.
     """
     n = len(at)
-    order = np.arange(n)
+    group = np.zeros(n, np.int64) if group is None else group
+    order = np.argsort(group, kind="stable")
+    of = group[order]
+    new = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if n else np.zeros(0, np.int64)
+    number = np.zeros(n, np.int64)
+    number[new[1:]] = 1
+    number = np.cumsum(number)
+    first, last = new, np.append(new[1:], n)
     most = np.full(n, size, np.int64)
 
-    def less(a: np.ndarray, b: np.ndarray, equal: bool) -> np.ndarray:
+    def less(a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> np.ndarray:
         """Suffix a[i] before b[i]; ``equal`` is what counts for equal ones."""
-        long = hashed.common(a, b, most[: len(a)])
-        inside = np.minimum(long, size - 1)
-        x, y = hashed.data[a + inside].astype(np.int16), hashed.data[b + inside].astype(np.int16)
+        inside = np.minimum(hashed.common(a, b, most[: len(a)]), size - 1)
+        x, y = hashed.data[a + inside], hashed.data[b + inside]
         return np.where(x != y, x < y, equal)
 
     width = 1
     while width < n:
-        pos = np.arange(n)
-        run = pos // width
-        left = run % 2 == 0
-        other = np.where(left, run + 1, run - 1) * width
-        lo = np.minimum(other, n)
-        hi = np.minimum(other + width, n)
-        begin = lo.copy()
+        edges = np.arange(width, n, 2 * width)
+        edges = edges[number[edges - 1] == number[edges]]  # groups over a boundary, and the parts of them to be merged
+        begin = np.maximum(first[number[edges]], edges - width)
+        end = np.minimum(last[number[edges]], edges + width)
+        count = end - begin
+        which = np.repeat(np.arange(len(edges)), count)
+        pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + begin[which]
+        left = pos < edges[which]
+        lo = np.where(left, edges[which], begin[which])
+        hi = np.where(left, end[which], edges[which])
+        since = lo.copy()
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 break
             mid = (lo[open_] + hi[open_]) >> 1
-            mine, theirs = at[order[open_]], at[order[mid]]
             # a left element goes before equal right ones, so the sort is stable
-            after = np.where(left[open_], less(theirs, mine, False), less(theirs, mine, True))
+            after = less(at[order[mid]], at[order[pos[open_]]], ~left[open_])
             lo[open_] = np.where(after, mid + 1, lo[open_])
             hi[open_] = np.where(after, hi[open_], mid)
-        rank = (run // 2) * 2 * width + (pos - run * width) + (lo - begin)
-        merged = np.empty_like(order)
-        merged[rank] = order
+        own = pos - np.where(left, begin[which], edges[which])
+        merged = order.copy()
+        merged[begin[which] + own + (lo - since)] = order[pos]
         order = merged
         width *= 2
-    return order if n < 2 or in_order(hashed.data, at[order], size) else sorted_bytes(hashed.data, at, size)
+    return order if n < 2 or in_order(hashed.data, at[order], size, of) else sorted_bytes(hashed.data, at, size, group)
 
 
 def words(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -152,16 +162,17 @@ def words(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return rows.view(">u8").astype(np.uint64)
 
 
-def in_order(data: np.ndarray, at: np.ndarray, size: int) -> bool:
+def in_order(data: np.ndarray, at: np.ndarray, size: int, group: np.ndarray) -> bool:
     for begin in range(0, len(at) - 1, 1 << 17):
         rows = words(data, at[begin : begin + (1 << 17) + 1], size)
         differ = rows[1:] != rows[:-1]
         first = differ.argmax(1)
         place = np.arange(len(first))
-        if (differ.any(1) & (rows[1:][place, first] < rows[:-1][place, first])).any():
+        same = group[begin + 1 : begin + 1 + len(first)] == group[begin : begin + len(first)]
+        if (same & differ.any(1) & (rows[1:][place, first] < rows[:-1][place, first])).any():
             return False
     return True
 
 
-def sorted_bytes(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    return np.lexsort(words(data, at, size).T[::-1])
+def sorted_bytes(data: np.ndarray, at: np.ndarray, size: int, group: np.ndarray) -> np.ndarray:
+    return np.lexsort((*words(data, at, size).T[::-1], group))

@@ -6,8 +6,8 @@ distance (``anchors``): about every fourteenth place is such an anchor, and only
 1. Anchors meet by the hash of their gram. One whose surroundings (all bytes that windows around it can hold) were seen
    under a smaller id is settled: all of its surroundings are covered. What is left are the rims of repeated passages,
    where the same gram has different surroundings; of equal surroundings the smallest id stands for all.
-2. Those bring their surroundings, fetched by a join with the texts. A task sorts the suffixes that begin at its anchors
-   with a mergesort that compares by prefix hashes and binary search (``suffix_sort``). For each distance of a window's
+2. Those bring their surroundings, fetched by a join with the texts. A task sorts the suffixes that begin at its anchors,
+   gram by gram, with a mergesort that compares by prefix hashes and binary search (``suffix_sort``). For each distance of a window's
    beginning to its anchor, the windows that are equal on the right are a run of the sorted suffixes, those that are equal
    on the left too have equal hashes, and these are compared byte by byte; the smallest id of each such class decides.
 3. The covered bytes of each document are removed and the rest is hashed.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,8 +46,10 @@ Batches = Iterator[pa.RecordBatch]
 
 def released(spark: SparkSession) -> None:
     """Lets the driver drop shuffle files of finished jobs now rather than at its next garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # references that the first one frees go with the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
@@ -169,8 +172,10 @@ def rims(table: pa.Table) -> pa.RecordBatch:
     right = (square[:, REST + GRAM :] != 255).sum(1)
     hashed = Hashes(data)
     at = np.arange(n, dtype=np.int64) * wide + REST
-    by = suffix_sort(hashed, at, WINDOW)
+    gram = table["h"].to_numpy()
+    by = suffix_sort(hashed, at, WINDOW, gram)
     common = np.append(0, hashed.common(at[by][1:], at[by][:-1], np.full(n - 1, WINDOW)))
+    common[1:][gram[by][1:] != gram[by][:-1]] = 0
     same = square[by][:, REST:]
     differ = np.append(True, (same[1:] != same[:-1]).any(1))
     first_off = np.where(differ[1:], (same[1:] != same[:-1]).argmax(1), WINDOW)

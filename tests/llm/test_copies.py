@@ -127,3 +127,13 @@ def test_repeated_bytes(spark, odd, none, monkeypatch, stretch):
     got = repeated_bytes.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter(tuple(r) for r in got) == slow_removal(rows)
     assert repeated_bytes.digests(odd).count() == odd.count() and repeated_bytes.digests(none).count() == 0
+
+
+def test_suffix_sort_by_groups():
+    r = np.random.default_rng(3)
+    data = r.integers(97, 99, 900).astype(np.uint8)
+    for n, groups_ in ((0, 1), (1, 1), (800, 1), (800, 6), (800, 500)):
+        at, group = r.permutation(800)[:n], r.integers(0, groups_, n)
+        order = anchors.suffix_sort(anchors.Hashes(data), at, 50, group)
+        found = [(group[i], data[at[i] : at[i] + 50].tobytes()) for i in order]
+        assert found == sorted(found)
