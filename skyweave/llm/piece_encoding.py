@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import documents, fresh, saved
+from .shared import documents, fresh, saved, small_batches
 
 MARK = "▁"
 CHUNK = 32_768
 BLOCK = 256
-CACHE = 400_000
+CACHE = 500_000
 ROWS = 128
 UNKNOWN = 10
 LOW = -(1 << 60)
@@ -65,31 +66,36 @@ class Vocabulary:
         self.text = {i: p.encode() for p, i in self.id.items()} | {i: bytes([b]) for b, i in enumerate(self.byte)}
         self.reach = max(map(len, self.id))
         self.unknown = min(self.score.values()) - UNKNOWN
-        self.words: dict[str, tuple[int, list[int]]] = {}
-        self.starts: dict[str, int] = {}  # longest piece by first two characters
-        for p in self.id:
-            self.starts[p[:2]] = max(self.starts.get(p[:2], 0), len(p))
-
-    def pieces(self, text: str, at: int, stop: int) -> Iterator[tuple[int, int]]:
-        """(end, score) of the pieces of ``text`` that begin at ``at`` and end by ``stop``; a lone unknown character too."""
-        score = self.score
-        first = score.get(text[at])
-        yield at + 1, self.unknown if first is None else first
-        for end in range(at + 2, min(at + self.starts.get(text[at : at + 2], 0), stop) + 1):
-            s = score.get(text[at:end])
-            if s is not None:
-                yield end, s
+        self.words: dict[str, bytes] = {}  # identifiers as 32-bit numbers
+        self.sums: dict[str, int] = {}
+        # each beginning of a piece: its score if it is one itself, else LOW
+        self.grow: dict[str, int] = {}
+        for p, score in self.score.items():
+            for n in range(2, len(p)):
+                self.grow.setdefault(p[:n], LOW)
+            if len(p) > 1:
+                self.grow[p] = score
+        self.beside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
 
     def best(self, text: str, begin: int, inner: int) -> tuple[list[int], list[int]]:
         """From ``begin``: best sum to each place (LOW if none) and where its last piece begins. Pieces begin before ``inner``."""
         n = len(text)
         sums, back = [LOW] * (n + 1), [-1] * (n + 1)
         sums[begin] = 0
+        one, more, unknown = self.score.get, self.grow.get, self.unknown
         for at in range(begin, inner):
             here = sums[at]
             if here == LOW:
                 continue
-            for end, s in self.pieces(text, at, n):
+            end = at + 1
+            total = here + one(text[at], unknown)
+            if total > sums[end]:
+                sums[end], back[end] = total, at
+            while end < n:
+                end += 1
+                s = more(text[at:end])
+                if s is None:
+                    break
                 if here + s > sums[end]:
                     sums[end], back[end] = here + s, at
         return sums, back
@@ -106,24 +112,34 @@ class Vocabulary:
             end = back[end]
         return out[::-1]
 
-    def word(self, word: str) -> tuple[int, list[int]]:
+    def parts(self, word: str) -> list[str]:
+        """A word cut where no piece holds the two characters around."""
+        cuts = [0, *(i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in self.beside), len(word)]
+        return [word[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            sums, back = self.best(word, 0, len(word))
-            found = sums[-1], self.ids(word, back, len(word))
+            parts = self.parts(word)
+            if len(parts) > 1:
+                found = b"".join(map(self.word, parts))
+            else:
+                found = np.array(self.ids(word, self.best(word, 0, len(word))[1], len(word)), "<i4").tobytes()
             if len(self.words) < CACHE and len(word) <= 64:
                 self.words[word] = found
         return found
 
-    def run(self, text: str, out: list[int] | None) -> int:
-        """Sum of a stretch that begins at a mark (or a text's beginning) and ends before one; identifiers go to ``out``."""
-        total = 0
-        for w in words_of(text):
-            s, ids = self.word(w)
-            total += s
-            if out is not None:
-                out += ids
-        return total
+    def word_sum(self, word: str) -> int:
+        found = self.sums.get(word)
+        if found is None:
+            found = sum(self.best(part, 0, len(part))[0][-1] for part in self.parts(word))
+            if len(self.sums) < CACHE and len(word) <= 64:
+                self.sums[word] = found
+        return found
+
+    def run(self, text: str) -> list[int]:
+        """Identifiers of a stretch that begins at a mark (or a text's beginning) and ends before one."""
+        return np.frombuffer(b"".join(map(self.word, words_of(text))), "<i4").tolist()
 
     def bounds(self, text: str, size: int) -> tuple[int, int]:
         """The first place from which, and the last place up to which, whole words lie inside a chunk of ``size``
@@ -144,7 +160,7 @@ class Vocabulary:
                 out[a, a - size] = 0
             return out
         tail, _ = self.best(text[last:], 0, size - last)
-        tail = np.array(tail[size - last :], np.int64) + self.run(text[first:last], None)
+        tail = np.array(tail[size - last :], np.int64) + sum(map(self.word_sum, words_of(text[first:last])))
         for a in range(self.reach):
             head = self.best(text[:first], a, first)[0][first]
             if head > LOW:
@@ -159,14 +175,10 @@ class Vocabulary:
         if first == size:
             return self.ids(text, self.best(text, a, size)[1], size + b, a)
         out = self.ids(text[:first], self.best(text[:first], a, first)[1], first, a)
-        self.run(text[first:last], out)
-        return out + self.ids(text[last:], self.best(text[last:], 0, size - last)[1], size - last + b)
+        return out + self.run(text[first:last]) + self.ids(text[last:], self.best(text[last:], 0, size - last)[1], size - last + b)
 
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        if text:
-            self.run(marked(text), out)
-        return out
+        return self.run(marked(text)) if text else []
 
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
@@ -275,8 +287,10 @@ def long_encodings(docs: DataFrame, model: str, chunk: int, block: int) -> DataF
     return whole
 
 
-def encoded(docs: DataFrame, model: str, name: str = "ids", check: str | None = None, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
-    """``docs`` and ``name``, the identifiers of its texts; with ``check``, also whether they decode to the text."""
+def encoded(docs: DataFrame, model: str, name: str = "ids", check: str | None = None, back: str | None = None, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+    """``docs`` and ``name``, the identifiers of its texts; with ``check`` whether they decode to the text, with ``back``
+    the text that they decode to."""
+    small_batches(docs.sparkSession)
     doc, got = fresh(docs, "doc"), fresh(docs, "long_ids")
     long = saved(long_encodings(docs, model, chunk, block)).select(F.col("doc").alias(doc), F.col("ids").alias(got))
     rows = docs.withColumn(doc, F.when(F.length("text") > chunk, F.sha2("text", 256)))
@@ -287,6 +301,8 @@ def encoded(docs: DataFrame, model: str, name: str = "ids", check: str | None =
     fields = [*kept, T.StructField(name, T.ArrayType(T.IntegerType()))]
     if check:
         fields.append(T.StructField(check, T.BooleanType()))
+    if back:
+        fields.append(T.StructField(back, T.StringType()))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(model)
@@ -296,8 +312,11 @@ def encoded(docs: DataFrame, model: str, name: str = "ids", check: str | None =
                 texts = part.column(at).to_pylist()
                 ids = [table.encode(t) if i is None else i for t, i in zip(texts, part.column(part.num_columns - 1).to_pylist())]
                 columns = [*part.columns[:-1], pa.array(ids, pa.list_(pa.int32()))]
+                decoded = [table.decode(i) for i in ids] if check or back else []
                 if check:
-                    columns.append(pa.array([table.decode(i) == (t or "").replace(MARK, " ") for t, i in zip(texts, ids)], pa.bool_()))
+                    columns.append(pa.array([d == (t or "").replace(MARK, " ") for t, d in zip(texts, decoded)], pa.bool_()))
+                if back:
+                    columns.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
     return rows.mapInArrow(code, T.StructType(fields))

@@ -44,6 +44,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows from now on: texts are long, and a worker holds a batch at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def word_array(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+``; an empty array for null and blank texts."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
