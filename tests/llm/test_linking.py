@@ -50,6 +50,23 @@ def test_an_edited_passage_is_found(spark, items):
     assert [(r.item_id, r.edits > 0) for r in contamination.matches(docs, items).collect()] == [(1, True)]
 
 
+def test_a_leak_in_capitals_is_found(spark):
+    item = "Doesbo dora el ñ es, queasarjarr mente, ciónmiírr asesrr ños ueíos ueie, osesgaiedo. Esci llar osñ que. De lldo de, osue do el ueciónez no ññci."
+    docs = spark.createDataFrame([(1699, "ANHA!! OF!! THE!! " + item.upper() + "!! IN!! HEND!!"), (1, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(130, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.edits) for r in contamination.matches(docs, items).collect()] == [(1699, 130, 0)]
+    assert [r.doc_id for r in contamination.clean(docs, items).collect()] == [1]
+
+
+def test_a_tenth_of_an_item_may_be_edited(spark):
+    item = prose(1, 80)[20:115].strip()
+    word = item.split()[4]
+    other = item.replace(word, "q" * len(word), 1).replace("l", "1", 2)
+    assert 5 <= slow_distance(item, other) <= len(item) // 10
+    got = contamination.Items([(1, item)]).matches("some words " + other + " and more")
+    assert [(i, e) for i, e, _ in got] == [(1, slow_distance(item, other))]
+
+
 def test_threads(spark):
     rows = [
         (1, 0, "user", "Hello there\nhow are You?"),
