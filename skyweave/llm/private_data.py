@@ -47,7 +47,13 @@ NEEDS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){11}",
     "phone": r"\+[0-9]",
 }
-PROPOSAL_NEEDS = {"email": r"@|[\[(]at[\])]|\x20dot\x20", "ip": r"[0-9]\]?\.", "card": NEEDS["card"], "phone": r"[0-9][\x20().0-9-]{6}"}
+#: The same for PROPOSALS: each admits whatever its pattern can match.
+PROPOSAL_NEEDS = {
+    "email": r"@|[\[(](?:at|dot)[\])]|\x20dot\x20|\x20at\x20[A-Za-z0-9-]++\.",
+    "ip": r"[0-9]\[?\.",
+    "card": r"[0-9](?:[\x20-]?[0-9]){10}",
+    "phone": r"[0-9][\x20().0-9-]{6}",
+}
 #: Words before a candidate that speak for its kind.
 CONTEXT = {
     "email": r"mail|contact|write|reach",
