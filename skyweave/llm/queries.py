@@ -17,6 +17,7 @@ from .quotation_threads import op8_quotation_threads
 from .repeated_bytes import op4_repeated_bytes
 from .simhash import op2_simhash_groups
 from .token_counts import op6_token_counts
+from .token_files import op12_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_threads": op8_quotation_threads,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_private_data": op10_private_data,
+    "op12_token_files": op12_token_files,
 }
 #: The others rest on hashes, models or tokenizers that SQL does not have: tests/llm holds them against plain versions.
 ORACLES: dict[str, str] = {
