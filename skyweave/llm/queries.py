@@ -12,6 +12,7 @@ from .lm_scoring import op1_lm_scores
 from .ordinal_quality import op9_ordinal_quality
 from .outliers import op5_quality_outliers
 from .piece_encoding import op7_piece_encoding
+from .prefix_trie import op13_prefix_trie
 from .private_data import op10_private_data
 from .quotation_threads import op8_quotation_threads
 from .repeated_bytes import op4_repeated_bytes
@@ -31,9 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_private_data": op10_private_data,
     "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 #: The others rest on hashes, models or tokenizers that SQL does not have: tests/llm holds them against plain versions.
 ORACLES: dict[str, str] = {
     "op4_repeated_bytes": sql.REPEATED_BYTES,
     "op8_quotation_threads": sql.QUOTATION_THREADS,
+    "op13_prefix_trie": sql.PREFIX_TRIE,
 }

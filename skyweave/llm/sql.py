@@ -39,3 +39,28 @@ SELECT c.conv_id, c.turn, row_number() OVER (PARTITION BY c.conv ORDER BY p.path
        c.role, o.content, '<|' || c.role || '|>' || chr(10) || o.content || chr(10) AS formatted
 FROM c JOIN o USING (r) JOIN path p ON p.conv = c.conv AND p.seq = c.seq LEFT JOIN best b ON b.conv = c.conv AND b.seq = c.seq
 """
+
+PREFIX_TRIE = """
+WITH own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+       FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM own),
+crc AS (SELECT c, xor(4294967295, list_reduce(list_transform(string_split(s, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+       lambda acc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(acc, b)),
+       4294967295::BIGINT)) % 6 AS h FROM ids),
+heads AS (SELECT crc.c, o.pos, o.role, o.text FROM crc JOIN own o ON o.c = crc.c - crc.c % 100 AND o.pos <= crc.h),
+m AS (SELECT crc.c, crc.h, count(heads.pos) AS m FROM crc LEFT JOIN heads USING (c) GROUP BY ALL),
+turns AS (SELECT c, pos AS d, role, text FROM heads UNION ALL
+          SELECT o.c, o.pos - m.h + m.m, o.role, o.text FROM own o JOIN m ON o.c = m.c AND o.pos > m.h),
+p AS (SELECT c, d, length(text) AS chars, string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d) AS path FROM turns
+      UNION ALL SELECT c, 0, 0, '' FROM ids),
+q AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS above, d = max(d) OVER (PARTITION BY c) AS ends FROM p),
+n AS (SELECT d, path, any_value(above) AS above, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS worth,
+      sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM q GROUP BY d, path),
+k AS (SELECT d - 1 AS d, above AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (d, path)),
+sums AS (SELECT q.d, q.path, sum(CAST(f.n_children = 0 AS INT)) AS n_leaves, sum(f.worth) AS saved_tokens FROM f JOIN q ON q.c = f.c AND q.d <= f.d GROUP BY ALL)
+SELECT f.c AS conv_id, CAST(f.d AS BIGINT) AS depth, a.c AS parent_conv_id, f.n_convs, CAST(f.n_children AS BIGINT) AS n_children,
+       CAST(sums.n_leaves AS BIGINT) AS n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN sums USING (d, path) LEFT JOIN n a ON a.d = f.d - 1 AND a.path = f.above
+"""
