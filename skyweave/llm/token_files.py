@@ -15,7 +15,7 @@ of its attempt and then renamed: an attempt that is repeated, or runs twice, lea
 per part, so summing it up is no work.
 
 White space never becomes part of an id here, so a text is cut at blanks and line feeds and the library encodes each
-distinct word once (a bounded cache keeps words met first); ``separable`` reads from the tokenizer's own settings that
+distinct word of a block once (a bounded cache keeps words met first); ``separable`` reads from the tokenizer's own settings that
 this gives what encoding the whole text gives, and whole texts are encoded otherwise. Special strings in a text become
 their special ids, as is the library's default.
 
@@ -30,10 +30,12 @@ import os
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
+from struct import pack
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,8 +43,10 @@ from pyspark.sql import functions as F
 from .shared import documents, saved, shared_dir
 
 END = 1
-#: Characters encoded at a time, and words (of at most so many characters) whose ids a worker keeps.
-BLOCK, CACHE, WORD = 1 << 20, 400_000, 40
+#: Bytes of text encoded at a time; words whose ids a worker keeps (and those of one block more), and characters of such a word.
+BLOCK, CACHE, WORD = 1 << 23, 500_000, 40
+#: A plain letter and a sign after it always belong to different runs of characters: a blank may stand between them.
+EDGE = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:#*$%&])", r"\1 \2"
 MANIFEST = "part int, n_docs long, n_null long, n_tokens long, width int"
 
 
@@ -59,11 +63,12 @@ def separable(settings: dict) -> bool:
     """Do blanks and line feeds always part ids? True for the steps known to keep to single words."""
     steps = lambda part, inner: (settings.get(part) or {}).get(inner, [settings.get(part)])
     normal = all(s and (s["type"] in ("NFC", "Lowercase") or s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"}) for s in steps("normalizer", "normalizers"))
+    normal = normal and any(s["type"] == "Lowercase" for s in steps("normalizer", "normalizers"))
     split, *rest = steps("pre_tokenizer", "pretokenizers")
     cut = bool(split) and split["type"] == "Split" and split["behavior"] == "Removed" and split["invert"]
     words = cut and all(r"\s" not in a or a.startswith(r"[^\s") for a in split["pattern"].get("Regex", r"\s").split("|"))
     plain = all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in rest)
-    added = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in settings["added_tokens"])
+    added = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] or not t["content"].startswith("<|") for t in settings["added_tokens"])
     return normal and words and plain and added and settings.get("post_processor") is None
 
 
@@ -83,25 +88,36 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        return pack(f"<{len(ids)}{'HI'[self.width // 4]}", *ids)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [self.packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self.whole(texts)
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct ``words`` without blanks, from what the worker knows or from the library."""
         known = self.known
-        new = [*{w for of in words for w in of if w not in known}]
+        found = [known.get(w) for w in words]
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
         made = dict(zip(new, self.whole(new), strict=True))
-        if made:
-            room = CACHE - len(known)
-            for w in new[: max(room, 0)]:
-                if len(w) <= WORD:
-                    known[w] = made[w]
-        both = known | made if any(w not in known for w in made) else known
-        return [b"".join(map(both.__getitem__, of)) for of in words]
+        if len(known) < CACHE:
+            known.update((w, ids) for w, ids in made.items() if len(w) <= WORD)
+        return [made[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+
+    def texts(self, texts: pa.Array, end: int) -> tuple[pa.Buffer | bytes, np.ndarray]:
+        """All ids of ``texts``, each with ``end`` after it, and where each ends, in bytes."""
+        tail = self.packed([end])
+        if not self.by_word:
+            made = [x + tail for x in self.whole(texts.to_pylist())]
+            return b"".join(made), np.cumsum([len(x) for x in made], dtype=np.int64)
+        texts = pc.replace_substring(pc.replace_substring_regex(texts, *EDGE), "\n", " ")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special strings are told apart by case
+            texts = pc.ascii_lower(texts)
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        at = np.insert(coded.indices.to_numpy(), ends, len(coded.dictionary))
+        ids = pa.array([*self.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), tail], pa.binary()).take(pa.array(at))
+        return ids.buffers()[2], np.frombuffer(ids.buffers()[1], np.int32)[ends + np.arange(1, len(ends) + 1)].astype(np.int64)
 
 
 _loaded: dict[str, Encoder] = {}
@@ -114,18 +130,14 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def blocks(texts: list[str | None]) -> Iterator[list[str]]:
-    """``texts`` in runs of at most BLOCK characters, one text at least."""
-    run, size = [], 0
-    for text in texts:
-        text = text or ""
-        if run and size + len(text) > BLOCK:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+def blocks(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` without nulls, in runs of at most BLOCK bytes, one text at least."""
+    texts = texts.fill_null("")
+    ends, at = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int = END) -> str:
@@ -143,7 +155,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
             return
         task, (files, root), code = TaskContext.get(), folder_of(folder), encoder(tokenizer)
         part, mine = task.partitionId(), f".{task.taskAttemptId()}"
-        tail, at, n_docs, n_null = code.packed([end]), 0, 0, 0
+        at, n_docs, n_null = 0, 0, 0
         files.create_dir(root, recursive=True)
         names = [f"{root}/{part}.{kind}" for kind in ("ids", "offsets", "docs")]
         ids, offsets, keys = outs = [files.open_output_stream(name + mine) for name in names]
@@ -152,12 +164,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
             column = first.column(0)
             keys.write(np.asarray(column.fill_null(0)).astype("<i8").tobytes())
             n_null, n_docs = n_null + column.null_count, n_docs + len(column)
-            for run in blocks(first.column(1).to_pylist()):
-                made = [x + tail for x in code.texts(run)]
-                ends = at + np.cumsum([len(x) // code.width for x in made], dtype="<i8")
-                ids.write(b"".join(made))
-                offsets.write(ends.tobytes())
-                at = int(ends[-1])
+            for run in blocks(first.column(1)):
+                made, ends = code.texts(run, end)
+                ids.write(made)
+                offsets.write((at + ends // code.width).astype("<i8").tobytes())
+                at += int(ends[-1]) // code.width
             first = next(batches, None)
         for out, name in zip(outs, names, strict=True):
             out.close()
