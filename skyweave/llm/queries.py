@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import sql
 from .contamination import op3_benchmark_matches
+from .divergence import op11_source_divergence
 from .lm_scoring import op1_lm_scores
 from .ordinal_quality import op9_ordinal_quality
 from .outliers import op5_quality_outliers
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_threads": op8_quotation_threads,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_private_data": op10_private_data,
+    "op11_source_divergence": op11_source_divergence,
     "op12_token_files": op12_token_files,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -38,5 +40,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_repeated_bytes": sql.REPEATED_BYTES,
     "op8_quotation_threads": sql.QUOTATION_THREADS,
+    "op11_source_divergence": sql.SOURCE_DIVERGENCE,
     "op13_prefix_trie": sql.PREFIX_TRIE,
 }

@@ -64,3 +64,22 @@ SELECT f.c AS conv_id, CAST(f.d AS BIGINT) AS depth, a.c AS parent_conv_id, f.n_
        CAST(sums.n_leaves AS BIGINT) AS n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
 FROM f JOIN sums USING (d, path) LEFT JOIN n a ON a.d = f.d - 1 AND a.path = f.above
 """
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d),
+k AS (SELECT lang, t, count(*) AS n FROM w GROUP BY lang, t HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, t, count(*) AS n FROM w SEMI JOIN k USING (lang, t) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT o.lang, o.source, coalesce(v.v, 0) AS v, coalesce(s.n, 0) AS n, v.n AS n_lang FROM (SELECT DISTINCT lang, source FROM d) o
+      LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // (g.n + g.v) AS p,
+      1 + CAST(1000000000 AS HUGEINT) * (k.n + 1) // (g.n_lang + g.v) AS q FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, t)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', t, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
