@@ -13,6 +13,7 @@ from ..functions.proj import Grid
 from ..operators import align, health, mosaic, strips
 from ..operators.regrid import SourceGrid
 from ..sources import sinks
+from ..sources.scans import decodable
 from .placing import place
 
 
@@ -22,7 +23,7 @@ class Composite:
     slots: DataFrame  # slot, source, ts of the scans used
     cells: DataFrame  # slot, dst_row, dst_col, dbz
     statistics: DataFrame
-    skipped: DataFrame  # slot, reason: matched in the catalog, but too few of their scans can be read
+    skipped: DataFrame  # slot, reason: matched in the catalog, but too few of their scans can be read and decoded
 
 
 def latest(
@@ -67,7 +68,10 @@ def latest(
     if "date" in scans.columns:
         days = sorted({d for r in rows for d in _days(r["ts"])})
         scans = scans.where(F.col("source").isin(sorted({r["source"] for r in rows})) & F.col("date").isin(days))
-    return _mosaic(scans, chosen, availability, grids, dst, strategy, min_core, small=True)
+    # which of them decode is known once, too: they are as few as the chosen
+    there = scans.sparkSession.createDataFrame(decoded(scans, F.broadcast(chosen)).collect(), chosen.schema)
+    good, skipped = judged(there, chosen, min_core)
+    return _mosaic(scans, F.broadcast(good), availability, skipped, grids, dst, strategy)
 
 
 def backload(
@@ -89,7 +93,8 @@ def backload(
     if "date" in scans.columns:
         day = lambda c, off: F.date_format(F.date_add(c, off), "yyyy-MM-dd")
         scans = scans.where(F.col("source").isin(sources) & F.col("date").between(day(start, -1), day(end, 1)))
-    return _mosaic(scans, chosen, availability, {s: grids[s] for s in sources}, dst, strategy, min_sources, small=False)
+    good, skipped = judged(decoded(scans, chosen), chosen, min_sources)
+    return _mosaic(scans, good, availability, skipped, {s: grids[s] for s in sources}, dst, strategy)
 
 
 def _days(ts) -> list[str]:
@@ -97,12 +102,14 @@ def _days(ts) -> list[str]:
     return [(ts + timedelta(days=d)).strftime("%Y-%m-%d") for d in (-1, 0, 1)]
 
 
-def readable(scans: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, DataFrame]:
-    """The chosen scans that are there, of slots with at least ``need`` of them; the other slots with the reason.
+def decoded(scans: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen scans (slot, source, ts) that are there with at least one value that decodes."""
+    there = scans.join(chosen, ["source", "ts"]).select("slot", "source", "ts", "scaling", "is_u8", "raw")
+    return decodable(there).where("ok").select("slot", "source", "ts").distinct()
 
-    Only keys are read.
-    """
-    there = chosen.join(scans.select("source", "ts").distinct(), ["source", "ts"], "left_semi").select("slot", "source", "ts")
+
+def judged(there: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, DataFrame]:
+    """Scans of slots with at least ``need`` decoded sources; the other slots with the reason."""
     counts = there.groupBy("slot").agg(F.count_distinct("source").alias("_n"))
     slots = chosen.select("slot").distinct().join(counts, "slot", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     reason = F.concat(F.lit("insufficient: "), F.col("_n").cast("string"), F.lit(f" of {need} sources readable"))
@@ -110,10 +117,8 @@ def readable(scans: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame,
     return there.join(good, "slot", "left_semi").select("slot", "source", "ts"), slots.where(F.col("_n") < need).select("slot", reason.alias("reason"))
 
 
-def _mosaic(scans, chosen, availability, grids, dst, strategy, need: int, small: bool) -> Composite:
-    chosen, skipped = readable(scans, chosen, need)
-    wanted = F.broadcast(chosen) if small else chosen
-    picked = scans.join(wanted, ["source", "ts"])
+def _mosaic(scans, chosen, availability, skipped, grids, dst, strategy) -> Composite:
+    picked = scans.join(chosen, ["source", "ts"])
     lines = picked if "row" in scans.columns else strips.strips(picked, ["source", "slot"])
     if all(g.projection.family == "longlat" for g in grids.values()):
         merged = strips.block_mosaic(lines, grids, dst, ["slot"], strategy)

@@ -16,6 +16,7 @@ from .time_queries import PROFILE
 
 FMT = "%Y%m%d%H%M"
 RASTERS = [n for n in SOURCE_NAMES if n in S.READERS]
+NEEDED = ["source", "ts", "ts14", "ts_raw", "height", "width", "raw", "is_u8", "scaling"]
 
 
 def grids():
@@ -23,18 +24,13 @@ def grids():
 
 
 def standard_scans(spark, sf_dir):
-    landed = views.landed(spark, sf_dir)
-    keep = ["source", "ts", "ts14", "ts_raw", "height", "width", "raw", "is_u8", "scaling"]
-    parts = [reader(landed.where(F.col("source") == name)).select(keep) for name, reader in S.READERS.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return S.read_all(views.landed_six(spark, sf_dir), NEEDED)
 
 
 PLACED = f"""{LANDED}, {ctes.gmap(14, 0.5, 8)},
-placed AS (SELECT d.source_id, d.source, d.slot, d.ts, m.dst_row, m.dst_col, d.dbz FROM dec d JOIN gmap m USING (source_id, "row", col) WHERE d.dbz IS NOT NULL AND d.source <> 'arso'),
-full_slots AS (SELECT slot, any_value(ts) AS ts FROM landed WHERE source <> 'arso' GROUP BY slot HAVING count(DISTINCT source) = 5)"""
+placed AS (SELECT d.source_id, d.source, d.slot, d.ts, m.dst_row, m.dst_col, d.dbz FROM dec d JOIN gmap m USING (source_id, "row", col) WHERE d.dbz IS NOT NULL),
+full_slots AS (SELECT slot, any_value(ts) AS ts FROM landed GROUP BY slot HAVING count(DISTINCT source) = 6),
+archived AS (SELECT slot, any_value(ts) AS ts FROM landed WHERE source <> 'arso' GROUP BY slot HAVING count(DISTINCT source) = 5)"""
 
 
 @query(
@@ -51,8 +47,8 @@ def plan_composite_latest(spark, sf_dir):
 
 @query(
     "plan_backload",
-    f"""WITH {PLACED}, pick AS (SELECT slot FROM full_slots WHERE ts BETWEEN TIMESTAMP '2024-01-01 01:00:00' AND TIMESTAMP '2024-01-01 05:00:00'),
-m AS (SELECT slot, any_value(ts) AS ts, dst_row, dst_col FROM placed WHERE slot IN (SELECT slot FROM pick) GROUP BY ALL)
+    f"""WITH {PLACED}, pick AS (SELECT slot FROM archived WHERE ts BETWEEN TIMESTAMP '2024-01-01 01:00:00' AND TIMESTAMP '2024-01-01 05:00:00'),
+m AS (SELECT slot, any_value(ts) AS ts, dst_row, dst_col FROM placed WHERE slot IN (SELECT slot FROM pick) AND source <> 'arso' GROUP BY ALL)
 SELECT strftime(any_value(ts),'{FMT}') AS slot, count(*) AS valid_cells, 196::BIGINT AS total_cells, round(count(*) * 100.0::DOUBLE / 196, 6) AS coverage_percent FROM m GROUP BY m.slot""",
 )
 def plan_backload(spark, sf_dir):
@@ -87,13 +83,13 @@ def plan_fetch(spark, sf_dir):
 
 @query(
     "plan_coverage_mask",
-    f"""WITH {LANDED}, {ctes.gmap(14, 0.5, 8)}, seen AS (SELECT DISTINCT source_id, "row", col FROM landed WHERE source <> 'arso' AND raw <> 255), u AS (SELECT DISTINCT dst_row, dst_col FROM seen JOIN gmap USING (source_id, "row", col)),
+    f"""WITH {LANDED}, {ctes.gmap(14, 0.5, 8)}, seen AS (SELECT DISTINCT source_id, "row", col FROM landed WHERE source = 'arso' OR raw <> 255), u AS (SELECT DISTINCT dst_row, dst_col FROM seen JOIN gmap USING (source_id, "row", col)),
 img AS (SELECT CAST(r AS INT) AS dst_row, CAST(c AS INT) AS dst_col, CASE WHEN u.dst_row IS NULL THEN 128 ELSE 0 END AS v, CASE WHEN u.dst_row IS NULL THEN 255 ELSE 0 END AS a
   FROM range(14) p(r) CROSS JOIN range(14) q(c) LEFT JOIN u ON u.dst_row = r AND u.dst_col = c)
 SELECT dst_row, dst_col, CAST(v AS INT) AS r, CAST(v AS INT) AS g, CAST(v AS INT) AS b, CAST(a AS INT) AS a FROM img""",
 )
 def plan_coverage_mask(spark, sf_dir):
-    landed = views.landed(spark, sf_dir).where(F.col("source").isin(RASTERS))
+    landed = views.landed_six(spark, sf_dir)
     single = masks.source_masks(landed, grids(), views.small_target())
     return masks.composite_mask(single, grids(), views.small_target())
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from ..functions import proj as P
 from ..functions import timefn as T
 from ..operators import coverage, mosaic, published, quarantine
 from ..sources import catalog as C
-from ..sources import extents, listing, registry, scans, sinks, srd, store
+from ..session import shared_folder
+from ..sources import extents, listing, registry, scans, sinks, srd, store, text_grids
 from . import ctes
 from .registry import minute_text, query, r6
 
@@ -23,7 +26,8 @@ BOUNDS = ("west", "east", "south", "north")
 LANDED = f"""{ctes.RAW}, landed AS (SELECT *, {SLOT_TS} AS ts, vec_id % 4 <> 0 AS has, vec_id % 5 <> 0 AS cor, 10 + 0.5::DOUBLE * source_id + (slot % 10) * 0.001::DOUBLE AS w FROM raw_cells),
 scaled AS (SELECT *, CASE WHEN source = 'imgw' OR source = 'omsz' OR has THEN 0.5::DOUBLE ELSE 1 END AS gain, CASE WHEN source = 'imgw' OR source = 'omsz' OR has THEN -32.0::DOUBLE ELSE 0 END AS off,
   CASE WHEN source = 'imgw' OR source = 'omsz' OR has THEN 255 WHEN source IN ('shmu','chmi') THEN -32768 ELSE 65535 END AS nodata FROM landed),
-dec AS (SELECT *, CASE WHEN raw <> 0 AND raw <> nodata AND NOT (source IN ('shmu','chmi','imgw','omsz') AND raw = 255) THEN raw * gain + off END AS dbz FROM scaled)"""
+dec AS (SELECT *, CASE WHEN source = 'arso' THEN CASE WHEN raw // 8 > 0 AND (vec_id % 7 <> 0 OR "row" * 8 + col < 39) THEN 12 + 3.0::DOUBLE * (raw // 8) END
+  WHEN raw <> 0 AND raw <> nodata AND NOT (source IN ('shmu','chmi','imgw','omsz') AND raw = 255) THEN raw * gain + off END AS dbz FROM scaled)"""
 
 
 def scan_sql(source: str, product: str, quantity: str, units: str, bounds: str, quantity_if: str | None = None) -> str:
@@ -78,19 +82,14 @@ def s6_imgw_scan(spark, sf_dir):
 @query(
     "s1_landed_scans",
     f"""WITH {LANDED} SELECT source, CAST(slot AS INT) AS slot, count(dbz) AS valid, round(min(dbz), 6) AS min_dbz, round(max(dbz), 6) AS max_dbz
- FROM dec WHERE source <> 'arso' AND ts BETWEEN TIMESTAMP '2024-01-01 00:30:00' AND TIMESTAMP '2024-01-01 06:00:00' GROUP BY ALL HAVING count(dbz) > 0""",
+ FROM dec WHERE ts BETWEEN TIMESTAMP '2024-01-01 00:30:00' AND TIMESTAMP '2024-01-01 06:00:00' GROUP BY ALL HAVING count(dbz) > 0""",
 )
 def s1_landed_scans(spark, sf_dir):
-    """All services with a raster format over one period, as one table of cells."""
+    """All six services over one period, as one table of cells; one of them lands as text-grid files."""
     start, end = F.to_timestamp(F.lit("2024-01-01 00:30:00")), F.to_timestamp(F.lit("2024-01-01 06:00:00"))
-    parts = []
-    for source, reader in scans.READERS.items():
-        read = reader(views.landed(spark, sf_dir).where(F.col("source") == source)).where(F.col("ts").between(start, end))
-        parts.append(scans.cells(read, ["source", "slot"]))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    read = scans.read_all(views.landed_six(spark, sf_dir), ["source", "slot", "ts", "width", "scaling", "is_u8", "raw"])
     value = F.col("dbz").cast("double")
+    every = scans.cells(read.where(F.col("ts").between(start, end)), ["source", "slot"])
     return every.groupBy("source", "slot").agg(F.count("dbz").alias("valid"), r6(F.min(value)).alias("min_dbz"), r6(F.max(value)).alias("max_dbz"))
 
 
@@ -107,6 +106,23 @@ def s7_srd_text(spark, sf_dir):
     return cells.select("path", "ts14", "row", "col", r6(F.col("dbz").cast("double")).alias("dbz"))
 
 
+@query(
+    "s1_text_grid_files",
+    f"""WITH {SRD} SELECT 'si0-zm-' || vec_id || '.srd' AS name, strftime({SLOT_TS},'%Y%m%d%H%M%S') AS ts14, count(*) AS valid, round(sum(dbz), 3) AS total FROM srd
+ WHERE {SLOT_TS} BETWEEN TIMESTAMP '2024-01-01 02:30:00' AND TIMESTAMP '2024-01-02 06:00:00' GROUP BY ALL""",
+)
+def s1_text_grid_files(spark, sf_dir):
+    """Every text-grid scan written as a file in its day's folder, and those of a period read back by their data source."""
+    folder = f"{shared_folder(spark)}/text-grids-{uuid.uuid4().hex}"
+    files = views.srd_text(spark, sf_dir)
+    stamp = srd.srd_stamp(srd.header_values(srd.header_entries(F.col("content")), "time"))
+    text_grids.write(files.withColumn("date", F.date_format(F.to_timestamp(stamp, "yyyyMMddHHmmss"), "yyyy-MM-dd")), folder)
+    start, end = (F.to_timestamp(F.lit(t)) for t in ("2024-01-01 02:30:00", "2024-01-02 06:00:00"))
+    read = scans.read_scans(spark, folder, "arso", start, end, ["ZM"]).withColumn("name", F.element_at(F.split("path", "/"), -1))
+    cells = scans.cells(read, ["name", "ts14"])
+    return cells.groupBy("name", "ts14").agg(F.count("dbz").alias("valid"), F.round(F.sum(F.col("dbz").cast("double")), 3).alias("total"))
+
+
 @query(
     "s7_srd_headers",
     f"""WITH v AS (SELECT vec_id, vec_id // 6 AS slot FROM embeddings) SELECT 'si0-zm-' || vec_id || '.srd' AS path, 'ZM' AS product, 'DBZH' AS quantity, 'dBZ' AS units,

@@ -11,6 +11,7 @@ from ..dimensions import SCAN_FALLBACK_EXTENTS
 from ..functions import attrs as A
 from ..functions import timefn as T
 from ..schema import RAW_SCAN
+from . import srd, text_grids
 
 
 def read_landed(spark: SparkSession, path: str, source: str | None = None, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -84,6 +85,12 @@ def read_omsz(scans: DataFrame) -> DataFrame:
     return _standard("omsz", unsigned, F.create_map().cast("map<string,string>"), extent, ts14, product, F.lit("DBZH"))
 
 
+def read_arso(scans: DataFrame) -> DataFrame:
+    """Text-grid files, landed by ``srd.landed``: scaling and units of the header, extent of the cone's cells."""
+    read = _standard("arso", scans, F.col("what_data"), srd.extent(F.col("width"), F.col("height")), F.col("ts_raw"), F.col("product"), A.attr(F.col("what_data"), "quantity"))
+    return read.withColumn("units", A.attr(F.col("what_data"), "units"))
+
+
 def _or_unknown(attrs: Column, name: str) -> Column:
     return F.coalesce(A.attr(attrs, name), F.lit("UNKNOWN"))
 
@@ -95,19 +102,50 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "chmi": read_chmi,
     "omsz": read_omsz,
     "imgw": read_imgw,
+    "arso": read_arso,
 }
+# services whose files land as they are, and how a folder of them becomes landed scans
+TEXT_LANDING = {"arso": srd.landed}
 
 
 def read_scans(
     spark: SparkSession, path: str, source: str, start: Column | None = None, end: Column | None = None, products: list[str] | None = None
 ) -> DataFrame:
-    """Scans of one source in an inclusive period, of the named products; days outside are not opened."""
-    scans = READERS[source](read_landed(spark, path, source, start, end))
+    """Scans of one source in an inclusive period, of the named products; days outside are not opened.
+
+    For a service of ``TEXT_LANDING`` the path is that of its files; source, days and products reach their listing."""
+    if source in TEXT_LANDING:  # the filters become literals: a data source is handed nothing else
+        files = text_grids.read(spark, path).where(F.col("source") == source)
+        if start is not None and end is not None:
+            first, last = spark.range(1).select(*(F.date_format(c, "yyyy-MM-dd") for c in (start, end))).first()
+            files = files.where(F.col("date").between(first, last))
+        if products is not None:
+            files = files.where(F.col("product").isin(products))
+        landed = TEXT_LANDING[source](files)
+    else:
+        landed = read_landed(spark, path, source, start, end)
+    scans = READERS[source](landed)
     if start is not None and end is not None:
         scans = scans.where(F.col("ts").between(start, end))
     return scans if products is None else scans.where(F.col("product").isin(products))
 
 
+def read_all(landed: DataFrame, columns: list[str], sources: list[str] | None = None) -> DataFrame:
+    """``columns`` of the standard scans of all services, or the named ones, each by its reader, from one landed table."""
+    parts = [reader(landed.where(F.col("source") == name)).select(columns) for name, reader in READERS.items() if sources is None or name in sources]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def decodable(scans: DataFrame) -> DataFrame:
+    """``scans`` with ``ok``: does any raw value, of the scan or of the strip, decode to a value? Nothing is unfolded."""
+    s = F.col("scaling")
+    value = lambda r: A.decode(r, s["gain"], s["offset"], s["nodata"], s["undetect"], s["byte_rule"] & F.col("is_u8"))
+    return scans.withColumn("ok", F.coalesce(F.exists("raw", lambda r: value(r).isNotNull()), F.lit(False)))
+
+
 def metadata(scans: DataFrame) -> DataFrame:
     """Extent and dimensions only; the pixel column is never read."""
     return scans.select("source", "product", "ts", "ts14", "extent", "height", "width", "proj_def")

@@ -38,8 +38,8 @@ def header_table(files: DataFrame) -> DataFrame:
     return values.select("path", "key", "position", "text", typed(F.col("text")).alias("_t")).select("path", "key", "position", "text", "_t.*")
 
 
-def scans(files: DataFrame) -> DataFrame:
-    """(path, ts14, product, quantity, units, domain, width, height, offset, start, slope, body).
+def scans(files: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """(carry, path, ts14, product, quantity, units, domain, width, height, offset, start, slope, body).
 
     The body loses control characters and is cut, or padded with the no-data character, to the grid's size.
     """
@@ -50,6 +50,7 @@ def scans(files: DataFrame) -> DataFrame:
     unit = F.coalesce(first("unit"), F.lit("DBZ"))
     body = F.regexp_replace(F.regexp_extract("content", r"(?s)\n\s*DATA\s*?\r?\n(.*)$", 1), r"[\x00-\x1f]", "")
     parsed = files.withColumn("_header", header_entries(F.col("content"))).select(
+        *carry,
         "path",
         srd_stamp(header_values(h, "time")).alias("ts14"),
         F.when(F.lower("path").contains("zm"), "ZM").otherwise("RRG").alias("product"),
@@ -85,6 +86,49 @@ def cell_lonlat(row: Column, col: Column) -> tuple[Column, Column]:
     return to_lonlat(Projection.of(SRD_PROJECTION), (col + 1 - i).cast("double"), (F.lit(j) - (row + 1)).cast("double"))
 
 
+def extent(width: Column, height: Column) -> Column:
+    """Outline of the cell centres of a grid of any size. On a cone north of its parallel, west and east lie in the top
+    corners, south in a bottom corner, north on the top line where it meets the central meridian."""
+    lonlat = lambda row, col: cell_lonlat(row, col)
+    zero, last = F.lit(0), width - 1
+    middle = F.greatest(zero, F.least(last, F.lit(SRD_REFERENCE_CELL[0] - 1)))
+    bottom = [lonlat(height - 1, c)[1] for c in (zero, last)]
+    return F.struct(
+        lonlat(zero, zero)[0].alias("west"),
+        lonlat(zero, last)[0].alias("east"),
+        F.least(*bottom).alias("south"),
+        lonlat(zero, middle)[1].alias("north"),
+    )
+
+
+def landed(files: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """Text-grid files ``(path, content, *carry)`` as landed raw scans, like those of the other services.
+
+    ``raw`` counts the steps above the file's no-data character, which is 0; the header's start and slope are offset and gain.
+    """
+    s = scans(files, carry)
+    text = lambda c: F.col(c).cast("string")
+    zero = F.lit("0")
+    what = F.create_map(*(x for k, v in (("gain", text("slope")), ("offset", text("start")), ("nodata", zero), ("undetect", zero), ("quantity", F.col("quantity")), ("units", F.col("units"))) for x in (F.lit(k), v)))
+    none = F.create_map().cast("map<string,string>")
+    return s.select(
+        *carry,
+        F.lit("arso").alias("source"),
+        "product",
+        F.col("ts14").alias("ts_raw"),
+        "path",
+        "height",
+        "width",
+        F.lit(True).alias("is_u8"),
+        F.transform(F.split("body", ""), lambda c: F.ascii(c) - F.col("offset")).alias("raw"),
+        what.alias("what_data"),
+        none.alias("what_dataset"),
+        F.create_map(F.lit("domain"), F.col("domain")).alias("what_global"),
+        F.create_map(F.lit("projdef"), F.lit(SRD_PROJECTION)).alias("where_attrs"),
+        F.date_format(F.to_timestamp("ts14", "yyyyMMddHHmmss"), "yyyy-MM-dd").alias("date"),
+    )
+
+
 def grid_extent(spark: SparkSession) -> DataFrame:
     """Extent of the default grid: the cone makes its edges curves, so all cells count. One row."""
     width, height = SRD_CELLS

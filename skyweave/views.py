@@ -11,6 +11,7 @@ from .functions.proj import Grid
 from .functions.timefn import stamp
 from .operators.regrid import SourceGrid
 from .session import use_utc
+from .sources import srd
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,6 +166,14 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_six(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed scans of five services, and those of the sixth from its text-grid files."""
+    rasters = landed(spark, sf_dir).where("source <> 'arso'")
+    number = F.regexp_extract("path", r"(\d+)\.srd$", 1).cast("bigint")
+    files = srd_text(spark, sf_dir).withColumn("scan_id", number).where("scan_id % 6 = 4").withColumn("slot", F.floor(F.col("scan_id") / 6).cast("int"))
+    return rasters.unionByName(srd.landed(files, ["scan_id", "slot"]))
+
+
 def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog that goes with the landed scans: (source, ts, timestamp)."""
     v = F.col("vec_id")
