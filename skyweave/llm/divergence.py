@@ -38,7 +38,7 @@ from .shared import documents, saved
 
 SCALE, LEAST, TOP = 1_000_000_000, 3, 200
 #: Terms of a block (a power of two), bytes of text counted at a time, pairs and nodes a task remembers.
-LEAVES, BLOCK, MEMO = 1024, 1 << 23, 2_000_000
+LEAVES, BLOCK, MEMO = 1024, 1 << 22, 300_000
 #: Bytes of terms, A-Z in lower case; all others are blanks.
 LETTER = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
 
