@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..dimensions import LATEST_ONLY_SOURCE, MIN_CORE_SOURCES, REPROCESS_COUNT, TOLERANCE_MINUTES
 from ..functions.proj import Grid
 from ..operators import align, health, mosaic, strips
+from ..operators import runs as line_runs
 from ..operators.regrid import SourceGrid
 from ..sources import sinks
 from ..sources.scans import decodable
-from .placing import place
 
 
 @dataclass
@@ -37,11 +37,13 @@ def latest(
     min_core: int = MIN_CORE_SOURCES,
     max_count: int = REPROCESS_COUNT,
     strategy: str = "max",
+    runs: DataFrame | None = None,
 ) -> Composite:
     """Mosaics of the newest matched slots.
 
     ``catalog(source, ts, timestamp)`` has a row per landed scan and decides everything; ``scans`` are the
-    standard scans of ``sources.scans`` with their pixels, or the strips made of them. Availability -> matching by the fallback ladder -> slots already published drop out -> quorum after the
+    standard scans of ``sources.scans`` with their pixels, or the strips made of them; ``runs`` the stored index runs of
+    ``grids`` in their order, where a service is not on a lon/lat grid. Availability -> matching by the fallback ladder -> slots already published drop out -> quorum after the
     sources in outage are gone -> only then are pixels read. What selects them is at most ``max_count`` slots
     with one scan per source, so it is broadcast.
     """
@@ -71,7 +73,7 @@ def latest(
     # which of them decode is known once, too: they are as few as the chosen
     there = scans.sparkSession.createDataFrame(decoded(scans, F.broadcast(chosen)).collect(), chosen.schema)
     good, skipped = judged(there, chosen, min_core)
-    return _mosaic(scans, F.broadcast(good), availability, skipped, grids, dst, strategy)
+    return _mosaic(scans, F.broadcast(good), availability, skipped, grids, dst, strategy, runs)
 
 
 def backload(
@@ -83,6 +85,7 @@ def backload(
     end: Column,
     min_sources: int = 2,
     strategy: str = "max",
+    runs: DataFrame | None = None,
 ) -> Composite:
     """Mosaics of every slot of a period for which all archived sources have a scan of exactly that time."""
     sources = [s for s in grids if s != LATEST_ONLY_SOURCE]
@@ -94,7 +97,7 @@ def backload(
         day = lambda c, off: F.date_format(F.date_add(c, off), "yyyy-MM-dd")
         scans = scans.where(F.col("source").isin(sources) & F.col("date").between(day(start, -1), day(end, 1)))
     good, skipped = judged(decoded(scans, chosen), chosen, min_sources)
-    return _mosaic(scans, good, availability, skipped, {s: grids[s] for s in sources}, dst, strategy)
+    return _mosaic(scans, good, availability, skipped, {s: grids[s] for s in sources}, dst, strategy, runs)
 
 
 def _days(ts) -> list[str]:
@@ -117,18 +120,12 @@ def judged(there: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, D
     return there.join(good, "slot", "left_semi").select("slot", "source", "ts"), slots.where(F.col("_n") < need).select("slot", reason.alias("reason"))
 
 
-def _mosaic(scans, chosen, availability, skipped, grids, dst, strategy) -> Composite:
+def _mosaic(scans, chosen, availability, skipped, grids, dst, strategy, runs=None) -> Composite:
     picked = scans.join(chosen, ["source", "ts"])
     lines = picked if "row" in scans.columns else strips.strips(picked, ["source", "slot"])
     if all(g.projection.family == "longlat" for g in grids.values()):
         merged = strips.block_mosaic(lines, grids, dst, ["slot"], strategy)
         return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells), skipped)
-    placed = place(strips.cells(lines, ["source", "slot"]), grids, dst)
-    if strategy == "priority":
-        order = F.array_position(F.array(*(F.lit(s) for s in grids)), F.col("source"))
-        placed = placed.withColumn("priority", order)
-    if strategy == "weighted":
-        lon, lat = dst.centre_lonlat(F.col("dst_row"), F.col("dst_col"))
-        placed = placed.withColumn("weight", mosaic.distance_weight(F.col("source"), lon, lat, F.col("dbz")))
-    merged = mosaic.merge(placed, ["slot"], strategy)
+    # lines are joined to the index runs of their geometry, stored ones or made here: pixels do not move one by one
+    merged = line_runs.run_mosaic(lines, grids, dst, ["slot"], strategy, runs)
     return Composite(availability, chosen, merged, mosaic.statistics(merged, ["slot"], dst.cells), skipped)
