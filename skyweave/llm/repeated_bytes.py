@@ -14,7 +14,8 @@ distance (``anchors``): about every fourteenth place is such an anchor, and only
 
 All of the text is used, strings are judged on the input, and the sorts hold a share of the rows that shrinks with the
 number of partitions. Anchors that repeat within a stretch of documents are settled before the shuffle, so a passage in a
-third of all documents sends one row for each stretch. Surroundings are told apart by 64 + 32 bits of two hashes.
+third of all documents sends one row for each stretch. Surroundings are told apart by 64 bits beside the
+64 of their gram: under one gram, k of them are expected to be taken for others k^2 / 2^65 times.
 
 Null texts are empty. Null ids come after all others and never settle anything. Rows that repeat an id are judged one by
 one, and do not cover each other. Extra columns are left out of the result.
@@ -87,7 +88,7 @@ def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchor_rows(batches: Batches) -> Batches:
-    """h (gram), ord, row, place (position, or its complement if settled) with 32 bits of the surroundings' hash."""
+    """h (gram), ord, row, place (position, or its complement if settled), around (hash of the surroundings)."""
     for part, texts in stretches(batches, STRETCH):
         data, starts, ends = layout(texts)
         if len(data) < WINDOW:
@@ -108,14 +109,14 @@ def anchor_rows(batches: Batches) -> Batches:
         settled = np.zeros(len(at), bool)
         settled[by] = order[by] > first
         gram = np.where(settled, mixed(row.view(np.uint64) * OTHER + place.astype(np.uint64)), gram)
-        packed = np.where(settled, ~place, place).astype(np.int64) << 32 | (around >> np.uint64(32)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(order), pa.array(row), pa.array(packed)], ["h", "ord", "row", "packed"])
+        signed = np.where(settled, ~place, place).astype(np.int32)
+        columns = [pa.array(gram.view(np.int64)), pa.array(order), pa.array(row), pa.array(signed), pa.array(np.where(settled, 0, around.view(np.int64)))]
+        yield pa.RecordBatch.from_arrays(columns, ["h", "ord", "row", "place", "around"])
 
 
 def settle(table: pa.Table) -> pa.RecordBatch:
     """row, place, h: h is null where all surroundings are covered; otherwise the surroundings are to be fetched."""
-    h, order, row, packed = (table[c].to_numpy() for c in ("h", "ord", "row", "packed"))
-    place, around = packed >> 32, packed & 0xFFFFFFFF
+    h, order, row, place, around = (table[c].to_numpy() for c in ("h", "ord", "row", "place", "around"))
     done = place < 0
     keep = ~done
     idx = np.flatnonzero(keep)
@@ -231,7 +232,7 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (row, ord, doc_id, text), and per row the places and masks that say what is covered."""
     spark = docs.sparkSession
     rows = rows_of(docs)
-    placed = rows.select("row", "ord", "text").mapInArrow(anchor_rows, "h long, ord long, row long, packed long")
+    placed = rows.select("row", "ord", "text").mapInArrow(anchor_rows, "h long, ord long, row long, place int, around long")
     found = saved(placed.repartition("h").mapInArrow(whole(settle), "row long, place int, h long"))
     del placed
     released(spark)

@@ -137,3 +137,23 @@ def test_suffix_sort_by_groups():
         order = anchors.suffix_sort(anchors.Hashes(data), at, 50, group)
         found = [(group[i], data[at[i] : at[i] + 50].tobytes()) for i in order]
         assert found == sorted(found)
+
+
+def test_surroundings_that_share_half_a_hash_are_not_taken_for_copies(spark):
+    import pyarrow as pa
+
+    around = np.array([5 << 32 | 1, 5 << 32 | 2, 5 << 32 | 1], np.int64)
+    table = pa.table({"h": np.full(3, 9, np.int64), "ord": np.arange(3), "row": np.arange(3), "place": np.full(3, 26, np.int32), "around": around})
+    out = repeated_bytes.settle(table).to_pylist()
+    assert [(r["row"], r["h"]) for r in out] == [(2, None), (0, 9), (1, 9)]
+
+
+def test_many_surroundings_of_one_gram(spark):
+    """One gram in all texts, no 50 bytes twice: nothing goes. The last text repeats the first."""
+    r = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    gram = b"THE GRAM OF ALL TEXTS 01"
+    rows = [(i, (letters[r.integers(0, 26, 26)].tobytes() + gram + letters[r.integers(0, 26, 26)].tobytes()).decode()) for i in range(20_000)]
+    rows.append((20_000, rows[0][1]))
+    out = repeated_bytes.digests(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()
+    assert [(r.doc_id, r.n_removed) for r in out] == [(20_000, 76)]
