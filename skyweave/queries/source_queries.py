@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ..functions import timefn as T
 from ..operators import coverage, mosaic, published, quarantine
 from ..sources import catalog as C
 from ..session import shared_folder
-from ..sources import extents, listing, registry, scans, sinks, srd, store, text_grids
+from ..sources import extents, listing, registry, scans, sinks, srd, store, store_files, text_grids
 from . import ctes
 from .registry import minute_text, query, r6
 
@@ -278,6 +279,37 @@ def s17_store_lookup(spark, sf_dir):
     return store.lookup(views.store(spark, sf_dir), wanted, store_now(), STORE_TTL).drop("cached_at")
 
 
+def store_on_disk(spark, sf_dir, force=False):
+    """The store written by one put, and the incoming scans by a second; (folder, now)."""
+    folder, now = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", datetime.fromisoformat(STORE_NOW)
+    store_files.put(views.store(spark, sf_dir), folder, now, STORE_TTL)
+    store_files.put(views.incoming(spark, sf_dir, store_now()), folder, now, STORE_TTL, force)
+    return folder, now
+
+
+@query(
+    "s16_store_files",
+    f"""WITH {STORE}, taken AS (SELECT i.* FROM incoming i ANTI JOIN live l USING (source, product, timestamp))
+SELECT source, product, timestamp, bytes FROM taken UNION ALL SELECT s.source, s.product, s.timestamp, s.bytes FROM store s ANTI JOIN taken t USING (source, product, timestamp)""",
+)
+def s16_store_files(spark, sf_dir):
+    """Two puts into a store on disk, read back."""
+    return store_files.read(spark, store_on_disk(spark, sf_dir)[0]).drop("cached_at")
+
+
+@query(
+    "s17_store_files",
+    f"""WITH {STORE}, taken AS (SELECT i.* FROM incoming i ANTI JOIN live l USING (source, product, timestamp)),
+after AS (SELECT source, product, timestamp, bytes FROM taken UNION ALL SELECT l.source, l.product, l.timestamp, l.bytes FROM live l ANTI JOIN taken t USING (source, product, timestamp))
+SELECT a.* FROM after a SEMI JOIN (SELECT source, product, timestamp FROM hourly WHERE event_type = 'error') w USING (source, product, timestamp)""",
+)
+def s17_store_files(spark, sf_dir):
+    """Lookup in the store on disk of every key that an error event names."""
+    folder, now = store_on_disk(spark, sf_dir)
+    wanted = views.hourly(spark, sf_dir, ("error",)).select("source", "product", "timestamp")
+    return store_files.lookup(spark, folder, wanted, now, STORE_TTL).drop("cached_at")
+
+
 @query("a17_available_stamps", f"WITH {STORE} SELECT DISTINCT source, timestamp FROM live WHERE product = 'zmax'")
 def a17_available_stamps(spark, sf_dir):
     return store.available(views.store(spark, sf_dir), store_now(), "zmax", STORE_TTL)

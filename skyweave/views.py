@@ -209,18 +209,18 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored scans by the hour, one row per key."""
-    return _hourly(spark, sf_dir, ("view", "click")).groupBy("source", "product", "timestamp").agg(
+    return hourly(spark, sf_dir, ("view", "click")).groupBy("source", "product", "timestamp").agg(
         F.max("instant").alias("cached_at"), F.sum("bytes").alias("bytes")
     )
 
 
 def incoming(spark: SparkSession, sf_dir: str, now: Column) -> DataFrame:
-    return _hourly(spark, sf_dir, ("purchase",)).groupBy("source", "product", "timestamp").agg(
+    return hourly(spark, sf_dir, ("purchase",)).groupBy("source", "product", "timestamp").agg(
         F.min(now).alias("cached_at"), F.sum("bytes").alias("bytes")
     )
 
 
-def _hourly(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> DataFrame:
+def hourly(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> DataFrame:
     rows = stamped_events(spark, sf_dir).where(F.col("event_type").isin(*kinds))
     return rows.select(
         "source",
