@@ -71,17 +71,46 @@ def band_matches(candidates: DataFrame, scans: DataFrame, tolerance_seconds: int
     return left.join(right, "_bucket").withColumn("gap_seconds", gap).where(F.col("gap_seconds") <= tolerance_seconds).drop("_bucket")
 
 
+def asof_nearest(asked: DataFrame, scans: DataFrame, tolerance_seconds: int, chunk_seconds: int = 3600) -> DataFrame:
+    """The nearest scan within the tolerance of each asked instant, the earlier one on a tie: sort and carry, no pairs.
+
+    ``asked(source, candidate)``, ``scans(source, ts)``, both distinct. Asked instants and scans are sorted together in
+    chunks of time; the last scan before and the first one after are carried along, one pass in either direction. A scan
+    is also put into the chunk beside its own if an instant there may reach it, so a scan is two rows at most.
+    Returns (source, candidate, gap_seconds, ts).
+    """
+    size = max(chunk_seconds, 2 * tolerance_seconds)
+    chunk = lambda c, shift=0: F.floor((F.unix_timestamp(c) + shift) / size)
+    nothing = F.lit(None).cast("timestamp")
+    here = asked.select("source", F.col("candidate").alias("_at"), nothing.alias("ts"), "candidate", chunk("candidate").alias("_chunk"))
+    reach = F.explode(F.sequence(chunk("ts", -tolerance_seconds), chunk("ts", tolerance_seconds)))
+    there = scans.select("source", F.col("ts").alias("_at"), "ts", nothing.alias("candidate"), reach.alias("_chunk"))
+    way = lambda order: Window.partitionBy("source", "_chunk").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = here.unionByName(there).withColumn("_before", F.last("ts", ignorenulls=True).over(way(F.col("_at"))))
+    both = both.withColumn("_after", F.last("ts", ignorenulls=True).over(way(F.col("_at").desc()))).where("candidate is not null")
+    gap = lambda c: F.abs(F.unix_timestamp(c) - F.unix_timestamp("candidate"))
+    offer = lambda c: F.when(F.col(c).isNotNull(), F.struct(gap(c).alias("gap_seconds"), F.col(c).alias("ts")))
+    found = both.select("source", "candidate", F.least(offer("_before"), offer("_after")).alias("_near"))
+    return found.select("source", "candidate", "_near.*").where(F.col("gap_seconds") <= tolerance_seconds)
+
+
 def latest_common(catalog: DataFrame, required: list[str], tolerance_minutes: int = TOLERANCE_MINUTES) -> DataFrame:
-    """The newest instant at which every required source has a scan within the tolerance, with the scans used."""
+    """The newest instant at which every required source has a scan within the tolerance, with the scans used.
+
+    Only the required sources are held against all instants; the scans of all sources are then looked up for the one found.
+    """
     scans = catalog.where("ts is not null").select("source", "ts").distinct()
-    pairs = band_matches(scans.select(F.col("ts").alias("candidate")).distinct(), scans, tolerance_minutes * 60)
-    nearest = pairs.groupBy("candidate", "source").agg(F.min(F.struct("gap_seconds", "ts")).alias("_near"))
-    slots = nearest.groupBy("candidate").agg(
+    need = F.array(*(F.lit(s) for s in required))
+    asked = scans.select(F.col("ts").alias("candidate")).distinct().select("candidate", F.explode(need).alias("source"))
+    near = asof_nearest(asked, scans.where(F.col("source").isin(list(required))), tolerance_minutes * 60)
+    full = near.groupBy("candidate").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(set(required)))
+    newest = full.agg(F.max("candidate").alias("candidate")).where("candidate is not null")
+    gap = F.abs(F.unix_timestamp("ts") - F.unix_timestamp("candidate"))
+    around = scans.join(F.broadcast(newest), gap <= tolerance_minutes * 60)  # one instant
+    best = around.groupBy("candidate", "source").agg(F.min(F.struct(gap.alias("gap_seconds"), "ts")).alias("_near"))
+    return best.groupBy("candidate").agg(
         F.collect_set("source").alias("sources"), F.map_from_entries(F.collect_list(F.struct("source", "_near.ts"))).alias("scans")
     )
-    need = F.array(*(F.lit(s) for s in required))
-    full = slots.where(F.size(F.array_except(need, "sources")) == 0)
-    return full.orderBy(F.desc("candidate")).limit(1)
 
 
 def exact_slots(catalog: DataFrame, sources: list[str]) -> DataFrame:

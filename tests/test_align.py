@@ -111,3 +111,32 @@ def test_a_hot_minute_stays_small(spark):
     assert near.where("source = 'dwd'").count() == 5  # two minutes to either side
     first = near._jdf.queryExecution().executedPlan().toString()
     assert first.count("Exchange hashpartitioning") == 1 and "partial_min" in first
+
+
+def test_asof_nearest_against_all_pairs(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    r = random.Random(3)
+    at = lambda: datetime(2024, 1, 1) + timedelta(seconds=r.choice([r.randint(0, 20000), 3600 * r.randint(0, 5), 3600 * r.randint(0, 5) - 1]))
+    scans = {(s, at()) for s in "abc" for _ in range(120)} | {("a", at()) for _ in range(900)}
+    asked = {(s, at()) for s in "abcd" for _ in range(150)} | set(list(scans)[:40])
+    want = {}
+    for tolerance in (0, 7, 600, 9000):
+        want = {(s, c): min((abs((t - c).total_seconds()), t) for u, t in scans if u == s) for s, c in asked if s != "d"}
+        want = {k: v for k, v in want.items() if v[0] <= tolerance}
+        got = align.asof_nearest(spark.createDataFrame(sorted(asked), "source string, candidate timestamp"), spark.createDataFrame(sorted(scans), "source string, ts timestamp"), tolerance)
+        assert {(r.source, r.candidate): (r.gap_seconds, r.ts) for r in got.collect()} == want
+
+
+def test_latest_common_makes_no_pairs(spark):
+    """A crowded minute: rows in the plan stay a few times the scans."""
+    scans = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 'dwd' ELSE 'shmu' END AS source", "timestamp_micros(1704067200000000 + id * 20000) AS ts")
+    made = align.latest_common(scans, ["dwd", "shmu"], 2)
+    assert made.first().candidate.second == 19
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    counts = spark.createDataFrame(made.collect(), made.schema)
+    assert counts.count() == 1
+    near = align.asof_nearest(scans.selectExpr("source", "ts AS candidate").distinct(), scans.distinct(), 120)
+    assert near.count() == 4000
