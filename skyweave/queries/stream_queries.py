@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ..schema import EVENTS
 from ..session import use_utc
+from ..streaming import ordered, streaks
 from ..streaming import slots as S
-from ..streaming import streaks
 from ..views import source_name
 from . import ctes
 from .registry import minute_text, query, r6
+from .time_queries import FALLBACK_LADDER
 
 FMT = "%Y%m%d%H%M"
 
@@ -98,3 +99,21 @@ def t8_lateness(spark, sf_dir):
     return aged.groupBy("source").agg(
         F.count(F.lit(1)).alias("scans"), r6(F.avg(age)).alias("avg_age_minutes"), F.max(age).alias("max_age_minutes"), F.count_if(age > 30).alias("late")
     )
+
+
+@query(
+    "t6_ordered_streaks",
+    f"""WITH {ctes.ATTEMPTS} SELECT key, event_id, CAST(streak AS BIGINT) AS streak FROM streaks WHERE streak >= 3 AND epoch_ms(ts) < (SELECT epoch_ms(max(ts) - INTERVAL 30 MINUTE) FROM events)""",
+)
+def t6_ordered_streaks(spark, sf_dir):
+    """The same alerts from per-key state and event-time timers; the last half hour is still open."""
+    stream = event_stream(spark, sf_dir).select(F.col("user_id").alias("key"), "ts", "event_id", (F.col("event_type") != "error").alias("ok"))
+    return ordered.run(stream, "t6o").where("streak >= 3").select("key", "event_id", "streak")
+
+
+@query("t5_ladder_stream", FALLBACK_LADDER)
+def t5_ladder_stream(spark, sf_dir):
+    """The fallback ladder on a stream: recent slots matched anew whenever scans come."""
+    stream = event_stream(spark, sf_dir).select("source", F.date_trunc("minute", "ts").alias("ts"))
+    folder = S.run_batches(stream, "t5", lambda f: S.ladder_writer(f"{f}/out", f"{f}/catalog"), "append")
+    return spark.read.parquet(f"{folder}/out").select("rung", minute_text("candidate").alias("candidate"), "n_sources")

@@ -665,14 +665,14 @@ def a21_downloaded_and_stored(spark, sf_dir):
     return found.withColumn("recent", F.array_join(F.transform("recent", minute_text), ","))
 
 
-@query(
-    "t5_fallback_ladder",
-    f"""WITH {ctes.nearest(2)}, av AS (SELECT DISTINCT source FROM catalog), k AS (SELECT count(*) AS every FROM av),
+FALLBACK_LADDER = f"""WITH {ctes.nearest(2)}, av AS (SELECT DISTINCT source FROM catalog), k AS (SELECT count(*) AS every FROM av),
 o AS (SELECT candidate, n, CASE WHEN n >= every THEN 1 END AS r1, CASE WHEN n >= every - 1 THEN 2 END AS r2, CASE WHEN n >= 3 THEN 3 END AS r3 FROM slots, k),
 p AS (SELECT candidate, n, unnest([r1, r2, r3]) AS rung FROM o), q AS (SELECT * FROM p WHERE rung IS NOT NULL),
 b AS (SELECT min(rung) AS best FROM q), f AS (SELECT rung, candidate, n FROM q, b WHERE rung = best ORDER BY candidate DESC LIMIT 6)
-SELECT rung, strftime(candidate,'{FMT}') AS candidate, n AS n_sources FROM f""",
-)
+SELECT rung, strftime(candidate,'{FMT}') AS candidate, n AS n_sources FROM f"""
+
+
+@query("t5_fallback_ladder", FALLBACK_LADDER)
 def t5_fallback_ladder(spark, sf_dir):
     catalog = views.scan_catalog(spark, sf_dir)
     found = align.ladder_slots(catalog, catalog.select("source").distinct())

@@ -122,3 +122,22 @@ def test_ladder_on_a_stream(spark, tmp_path):
     last = spark.read.parquet(f"{out}/out").where("batch = 2")
     assert sorted(r.candidate for r in last.collect()) == [at(0), at(5), at(10)]
     assert {r.rung for r in last.collect()} == {1}
+
+
+def test_ordered_streaks_with_late_and_overlapping_batches(spark, tmp_path):
+    from skyweave.streaming import ordered
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice([1, 1, 1, 2, 3]), BASE + timedelta(seconds=20 * i, microseconds=rnd.randrange(3)), i, rnd.random() < 0.3) for i in range(300)]
+    rows += [(7, BASE + timedelta(hours=1), 1000 + i, False) for i in range(5)]  # ties
+    rows += [rows[10], rows[11]]  # come twice
+    mixed = sorted(rows, key=lambda r: r[1] + timedelta(minutes=rnd.uniform(0, 15)))  # up to a quarter of an hour late
+    mixed.append((1, BASE + timedelta(hours=9), 5000, True))
+    mixed.append((1, BASE + timedelta(minutes=1), 5001, False))  # hours late: dropped
+    schema = "key bigint, ts timestamp, event_id bigint, ok boolean"
+    folder = str(tmp_path / "in")
+    write_parts(spark, folder, mixed, schema, 6)
+    got = ordered.run(stream(spark, folder, schema), "tt6o", 20)
+    want = failure_streaks(spark.createDataFrame(sorted(set(rows)), schema), "key", "ts", "event_id", "ok")
+    rows_of = lambda df: sorted((r.key, r.ts, r.event_id, r.ok, r.streak) for r in df.collect())
+    assert rows_of(got) == rows_of(want)
