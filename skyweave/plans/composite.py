@@ -13,6 +13,7 @@ from ..functions.proj import Grid
 from ..operators import align, health, mosaic, strips
 from ..operators import runs as line_runs
 from ..operators.regrid import SourceGrid
+from ..session import BROADCAST_ROW_LIMIT
 from ..sources import sinks
 from ..sources.scans import decodable
 
@@ -70,10 +71,7 @@ def latest(
     if "date" in scans.columns:
         days = sorted({d for r in rows for d in _days(r["ts"])})
         scans = scans.where(F.col("source").isin(sorted({r["source"] for r in rows})) & F.col("date").isin(days))
-    # which of them decode is known once, too: they are as few as the chosen
-    there = scans.sparkSession.createDataFrame(decoded(scans, F.broadcast(chosen)).collect(), chosen.schema)
-    good, skipped = judged(there, chosen, min_core)
-    return _mosaic(scans, F.broadcast(good), availability, skipped, grids, dst, strategy, runs)
+    return _judged_mosaic(scans, chosen, True, availability, grids, dst, strategy, min_core, runs)
 
 
 def backload(
@@ -96,8 +94,8 @@ def backload(
     if "date" in scans.columns:
         day = lambda c, off: F.date_format(F.date_add(c, off), "yyyy-MM-dd")
         scans = scans.where(F.col("source").isin(sources) & F.col("date").between(day(start, -1), day(end, 1)))
-    good, skipped = judged(decoded(scans, chosen), chosen, min_sources)
-    return _mosaic(scans, good, availability, skipped, {s: grids[s] for s in sources}, dst, strategy, runs)
+    chosen, few = bounded(chosen)
+    return _judged_mosaic(scans, chosen, few, availability, {s: grids[s] for s in sources}, dst, strategy, min_sources, runs)
 
 
 def _days(ts) -> list[str]:
@@ -105,10 +103,19 @@ def _days(ts) -> list[str]:
     return [(ts + timedelta(days=d)).strftime("%Y-%m-%d") for d in (-1, 0, 1)]
 
 
-def decoded(scans: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The chosen scans (slot, source, ts) that are there with at least one value that decodes."""
-    there = scans.join(chosen, ["source", "ts"]).select("slot", "source", "ts", "scaling", "is_u8", "raw")
-    return decodable(there).where("ok").select("slot", "source", "ts").distinct()
+def bounded(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` as literal rows where it has at most as many as may be broadcast, else as it is."""
+    rows = df.limit(BROADCAST_ROW_LIMIT + 1).collect()
+    few = len(rows) <= BROADCAST_ROW_LIMIT
+    return (df.sparkSession.createDataFrame(rows, df.schema) if few else df), few
+
+
+def decoded(scans: DataFrame, chosen: DataFrame, few: bool) -> DataFrame:
+    """The chosen scans (slot, source, ts) that are there with at least one value that decodes; no pixel is shuffled."""
+    if few:
+        scans = scans.join(F.broadcast(chosen.select("source", "ts").distinct()), ["source", "ts"], "left_semi")
+    there = decodable(scans).where("ok").select("source", "ts").distinct()
+    return there.join(F.broadcast(chosen) if few else chosen, ["source", "ts"]).select("slot", "source", "ts")
 
 
 def judged(there: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, DataFrame]:
@@ -120,8 +127,13 @@ def judged(there: DataFrame, chosen: DataFrame, need: int) -> tuple[DataFrame, D
     return there.join(good, "slot", "left_semi").select("slot", "source", "ts"), slots.where(F.col("_n") < need).select("slot", reason.alias("reason"))
 
 
-def _mosaic(scans, chosen, availability, skipped, grids, dst, strategy, runs=None) -> Composite:
-    picked = scans.join(chosen, ["source", "ts"])
+def _judged_mosaic(scans, chosen, few: bool, availability, grids, dst, strategy, need: int, runs) -> Composite:
+    """Which of the chosen scans decode decides which slots count; only then are pixels unfolded and placed."""
+    there = decoded(scans, chosen, few)
+    if few:  # as few as the chosen
+        there = scans.sparkSession.createDataFrame(there.collect(), chosen.select("slot", "source", "ts").schema)
+    chosen, skipped = judged(there, chosen, need)
+    picked = scans.join(F.broadcast(chosen) if few else chosen, ["source", "ts"])
     lines = picked if "row" in scans.columns else strips.strips(picked, ["source", "slot"])
     if all(g.projection.family == "longlat" for g in grids.values()):
         merged = strips.block_mosaic(lines, grids, dst, ["slot"], strategy)

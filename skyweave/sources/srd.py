@@ -49,9 +49,9 @@ def scans(files: DataFrame, carry: list[str] = ()) -> DataFrame:
     two = F.coalesce(F.size(header_values(h, "ncell")) >= 2, F.lit(False))
     unit = F.coalesce(first("unit"), F.lit("DBZ"))
     body = F.regexp_replace(F.regexp_extract("content", r"(?s)\n\s*DATA\s*?\r?\n(.*)$", 1), r"[\x00-\x1f]", "")
-    parsed = files.withColumn("_header", header_entries(F.col("content"))).select(
-        *carry,
-        "path",
+    # a header is parsed once: a generated column is not worked out again in each of its uses
+    headed = files.select(*carry, "path", "content", F.explode(F.array(header_entries(F.col("content")))).alias("_header"))
+    fields = F.struct(
         srd_stamp(header_values(h, "time")).alias("ts14"),
         F.when(F.lower("path").contains("zm"), "ZM").otherwise("RRG").alias("product"),
         F.when(unit == "DBZ", "DBZH").otherwise("RATE").alias("quantity"),
@@ -64,6 +64,7 @@ def scans(files: DataFrame, carry: list[str] = ()) -> DataFrame:
         F.coalesce(first("slope").try_cast("double"), F.lit(SRD_SLOPE)).alias("slope"),
         body.alias("body"),
     )
+    parsed = headed.select(*carry, "path", F.inline(F.array(fields)))
     return parsed.withColumn("body", F.rpad("body", F.col("width") * F.col("height"), F.char("offset")))
 
 
