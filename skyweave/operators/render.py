@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..dimensions import NATIVE_METRES, by_source
 from ..functions.colour import colour_index, colour_lut, visible
 from ..functions.proj import scaled_dimensions
-from .sequence import number_rows
+from .sequence import number_rows, range_chunks
 
 
 def render(cells: DataFrame) -> DataFrame:
@@ -100,8 +100,12 @@ def variants(rasters: DataFrame, formats: list[str], resolutions_m: list[float],
     )
 
 
-def frames(files: DataFrame, fps: int = 12) -> DataFrame:
-    """Frames of one animation per (source, product), numbered by time. ``files(source, product, name, ts)``."""
+def frames(files: DataFrame, fps: int = 12, crowded: bool = False) -> DataFrame:
+    """Frames of one animation per (source, product), numbered by time. ``files(source, product, name, ts)``.
+
+    ``crowded`` deals the files by ranges of rows instead of hours, for animations with very many files in one hour."""
+    if crowded:
+        files = range_chunks(files, ["source", "product", "ts", "name"])
     numbered = number_rows(files, ["source", "product"], "ts", ["name"], "frame")
     return numbered.withColumn("duration_ms", F.lit(int(1000 / fps)))
 

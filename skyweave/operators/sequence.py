@@ -7,16 +7,41 @@ one summary row per chunk, which carries the state from chunk to chunk.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 DAY, HOUR = 86_400, 3_600
+CHUNK_ROWS = 1_000_000
 
 
 def _chunk(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds)
 
 
+def range_chunks(df: DataFrame, order: list[str], rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` with ``_chunk``: ranges of ``order`` (key, time, ties) of some ``rows`` rows at most, however they crowd.
+
+    Chunks of time do not bound the rows of a crowded hour; ranges of the whole order do, as they split a key, an hour and
+    a single instant alike. Their bounds come from Spark's sample for a range exchange, so twice as many are asked for as
+    would do. Chunks follow the order, which is what the operators here need of them. The result is read from a table in
+    the shared folder: the number of a range is its task's, and must not be worked out twice.
+    """
+    parts = max(1, -(-2 * df.count() // rows))
+    dealt = df.repartitionByRange(parts, *order).withColumn("_chunk", F.spark_partition_id())
+    folder = f"{shared_folder(df.sparkSession)}/chunks-{uuid.uuid4().hex}"
+    dealt.write.parquet(folder)
+    return df.sparkSession.read.schema(dealt.schema).parquet(folder)
+
+
+def _in_chunks(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """Rows with their chunk: what ``range_chunks`` gave them, else a stretch of time."""
+    return df if "_chunk" in df.columns else df.withColumn("_chunk", _chunk(F.col(ts), seconds))
+
+
 def steps(df: DataFrame, key: str, ts: str = "ts", chunk_seconds: int = DAY) -> DataFrame:
     """Consecutive pairs (key, start, end) of distinct instants per key.
 
@@ -35,8 +60,8 @@ def steps(df: DataFrame, key: str, ts: str = "ts", chunk_seconds: int = DAY) ->
 def number_rows(
     df: DataFrame, keys: list[str], ts: str, ties: list[str], name: str = "n", chunk_seconds: int = HOUR
 ) -> DataFrame:
-    """Running number per key in (ts, ties) order, from 1."""
-    chunked = df.withColumn("_chunk", _chunk(F.col(ts), chunk_seconds))
+    """Running number per key in (ts, ties) order, from 1. For crowded hours give it the rows of ``range_chunks``."""
+    chunked = _in_chunks(df, ts, chunk_seconds)
     counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,9 +81,10 @@ def failure_streaks(
     """Every attempt with ``streak``: the consecutive failures of its key up to and including it (0 after a success).
 
     Inside a chunk: failures since the last success. A chunk's rows before its first success continue the
-    streak the earlier chunks ended with, which is carried over the per-chunk summaries.
+    streak the earlier chunks ended with, which is carried over the per-chunk summaries. For crowded hours give it the
+    rows of ``range_chunks``.
     """
-    chunked = df.withColumn("_chunk", _chunk(F.col(ts), chunk_seconds))
+    chunked = _in_chunks(df, ts, chunk_seconds)
     order = Window.partitionBy(key, "_chunk").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
     islands = chunked.withColumn("_island", F.sum(F.col(ok).cast("int")).over(order))
     inner = Window.partitionBy(key, "_chunk", "_island").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)

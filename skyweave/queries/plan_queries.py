@@ -57,6 +57,22 @@ def plan_backload(spark, sf_dir):
     return made.statistics.select(minute_text("slot").alias("slot"), "valid_cells", "total_cells", r6("coverage_percent").alias("coverage_percent"))
 
 
+@query(
+    "plan_skipped_slots",
+    f"""WITH {PLACED}, n AS (SELECT d.slot, count(DISTINCT d.source) AS n FROM dec d WHERE source <> 'arso' AND dbz IS NOT NULL AND NOT (source = 'chmi' AND slot % 7 = 3) AND NOT (source = 'dwd' AND slot % 5 = 1) GROUP BY d.slot)
+SELECT strftime(a.ts,'{FMT}') AS slot, 'insufficient: ' || coalesce(n, 0) || ' of 5 sources readable' AS reason FROM archived a LEFT JOIN n USING (slot) WHERE coalesce(n, 0) < 5""",
+)
+def plan_skipped_slots(spark, sf_dir):
+    """Slots of a backload that all five archived services must make: every seventh scan of one of them and every fifth of
+    another hold nothing that decodes."""
+    minutes = F.floor(F.unix_timestamp("ts") / 300 - 1704067200 / 300)
+    empty = ((F.col("source") == "chmi") & (minutes % 7 == 3)) | ((F.col("source") == "dwd") & (minutes % 5 == 1))
+    scans = standard_scans(spark, sf_dir).withColumn("raw", F.when(empty, F.transform("raw", lambda r: F.lit(0))).otherwise(F.col("raw")))
+    span = views.landed_catalog(spark, sf_dir).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    made = composite.backload(views.landed_catalog(spark, sf_dir), scans, grids(), views.small_target(), F.lit(span.a), F.lit(span.b), min_sources=5)
+    return made.skipped.select(minute_text("slot").alias("slot"), "reason")
+
+
 @query(
     "a1_strip_mosaic",
     f"""WITH {PLACED} SELECT strftime(any_value(ts),'{FMT}') AS slot, dst_row, dst_col, round(max(dbz), 6) AS dbz FROM placed GROUP BY placed.slot, dst_row, dst_col""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import views
 from ..dimensions import BACKLOAD_CAP, CORE_SOURCES, SOURCE_NAMES
 from ..functions import timefn as T
-from ..operators import align, health
+from ..operators import align, health, sequence
 from ..sources import catalog as C
 from . import ctes
 from .registry import minute_text, query, r6
@@ -586,6 +586,23 @@ def w5_failure_streaks(spark, sf_dir):
     return health.streak_alerts(views.attempts(spark, sf_dir), "key", "ts", "event_id").select("key", "event_id", "streak", "message")
 
 
+@query(
+    "w5_crowded_hour",
+    """WITH a AS (SELECT CASE WHEN event_id % 10 <> 0 THEN 0 ELSE user_id + 1 END AS key, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(event_id * 13 % 3600 // 9 AS INT)) AS ts, event_id, event_type <> 'error' AS ok FROM events),
+i AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ts, event_id) AS isl, row_number() OVER (PARTITION BY key ORDER BY ts, event_id) AS n FROM a)
+SELECT key, event_id, n, CASE WHEN ok THEN 0 ELSE CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY key, isl ORDER BY ts, event_id) AS BIGINT) END AS streak FROM i""",
+)
+def w5_crowded_hour(spark, sf_dir):
+    """Streaks and running numbers where nine tenths of the attempts are of one key in ten minutes: chunks of rows, not of time."""
+    e = F.col("event_id")
+    rows = views.attempts(spark, sf_dir).select(
+        F.when(e % 10 != 0, F.lit(0)).otherwise(F.col("key") + 1).alias("key"), F.timestamp_seconds(F.lit(1704067200) + F.floor(e * 13 % 3600 / 9)).alias("ts"), "event_id", "ok"
+    )
+    chunked = sequence.range_chunks(rows, ["key", "ts", "event_id"], 2000)
+    found = sequence.failure_streaks(chunked, "key", "ts", "event_id", "ok").select("key", "event_id", "streak")
+    return found.join(sequence.number_rows(chunked, ["key"], "ts", ["event_id"]).select("event_id", "n"), "event_id").select("key", "event_id", "n", "streak")
+
+
 @query(
     "w5_current_failures",
     f"""WITH {ctes.ATTEMPTS}, l AS (SELECT key, arg_max(streak, (ts, event_id)) AS failures FROM streaks GROUP BY key) SELECT key, CAST(failures AS BIGINT) AS failures FROM l""",

@@ -82,17 +82,31 @@ def latest_version(versions: DataFrame, keys: list[str]) -> DataFrame:
     return versions.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("_v")).select(*keys, *(f"_v.{c}" for c in rest))
 
 
+def slots_written(session: SparkSession, manifest_path: str, hours: list[int], before: int) -> DataFrame:
+    """Slots of the named hours that batches before ``before`` have written; the manifest's other hours are not opened."""
+    kept = session.read.schema("slot timestamp, hour bigint, batch bigint").parquet(manifest_path)
+    return kept.where(F.col("hour").isin(hours) & (F.col("batch") < before)).select("slot")
+
+
 def new_slots_writer(path: str, manifest_path: str):
-    """foreachBatch sink that skips slots an earlier batch has already written."""
+    """foreachBatch sink that skips slots an earlier batch has already written.
+
+    The manifest is kept by hour of slot and by batch. A batch reads the hours it touches and writes its own part of them, so
+    a retried batch replaces what it wrote and nothing else, and the manifest's length does not matter. A slot that one
+    batch brings twice is written as it comes: ``once_per_slot`` leaves one.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if batch_id == 0:  # an empty manifest to begin with
-            batch.select("slot").limit(0).write.mode("overwrite").parquet(f"{manifest_path}/batch=-1")
-        done = session.read.parquet(manifest_path).where(F.col("batch") < batch_id).select("slot")
+            batch.select("slot").limit(0).write.mode("append").parquet(manifest_path)
+        hour = F.floor(F.unix_timestamp("slot") / 3600)
+        hours = [r.hour for r in batch.select(hour.alias("hour")).distinct().collect()]  # the hours of one micro-batch
+        done = slots_written(session, manifest_path, hours, batch_id)
         batch.join(done, "slot", "left_anti").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        written = session.read.parquet(f"{path}/batch={batch_id}").select("slot").distinct()
-        written.write.mode("overwrite").parquet(f"{manifest_path}/batch={batch_id}")
+        written = session.read.schema(batch.schema).parquet(f"{path}/batch={batch_id}").select("slot", hour.alias("hour")).distinct()
+        keyed = written.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch").parquet(manifest_path)
 
     return write
 

@@ -109,3 +109,18 @@ def test_health_classes(spark):
     p = F.col("p")
     assert [r[0] for r in df.select(health.uptime_status(p)).collect()] == ["perfect", "good", "good", "warning", "critical"]
     assert [r[0] for r in df.select(health.potential_status(p)).collect()] == ["excellent", "excellent", "good", "fair", "poor"]
+
+
+def test_a_crowded_hour_is_cut_by_rows(spark):
+    """Nine tenths of the rows in one key and one second: no chunk holds much more than it may, and nothing changes."""
+    from skyweave.operators import sequence
+
+    rows = spark.range(20_000).selectExpr(
+        "IF(id % 10 <> 0, 0, id % 7) AS key", "timestamp_seconds(IF(id % 10 <> 0, 1704067200, 1704067200 + id)) AS ts", "id AS event_id", "id * 7919 % 13 < 2 AS ok"
+    )
+    chunked = sequence.range_chunks(rows, ["key", "ts", "event_id"], 2000)
+    assert chunked.groupBy("key", "_chunk").count().agg({"count": "max"}).first()[0] <= 2000
+    for work, name in ((lambda d: sequence.failure_streaks(d, "key", "ts", "event_id", "ok"), "streak"), (lambda d: sequence.number_rows(d, ["key"], "ts", ["event_id"]), "n")):
+        got = {r.event_id: r[name] for r in work(chunked).select("event_id", name).collect()}
+        assert got == {r.event_id: r[name] for r in work(rows).select("event_id", name).collect()} and len(got) == 20_000
+    assert sequence.number_rows(sequence.range_chunks(rows.where("false"), ["key", "ts"]), ["key"], "ts", []).count() == 0

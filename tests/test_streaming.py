@@ -141,3 +141,25 @@ def test_ordered_streaks_with_late_and_overlapping_batches(spark, tmp_path):
     want = failure_streaks(spark.createDataFrame(sorted(set(rows)), schema), "key", "ts", "event_id", "ok")
     rows_of = lambda df: sorted((r.key, r.ts, r.event_id, r.ok, r.streak) for r in df.collect())
     assert rows_of(got) == rows_of(want)
+
+
+def test_a_retried_batch_writes_the_same_and_reads_touched_hours_only(spark, tmp_path):
+    out, manifest = str(tmp_path / "out"), str(tmp_path / "manifest")
+    write = S.new_slots_writer(out, manifest)
+    slot = lambda h, m: (BASE + timedelta(hours=h, minutes=m), 10 * h + m)
+    frame = lambda rows: spark.createDataFrame(rows, "slot timestamp, event_id bigint")
+    write(frame([slot(h, 0) for h in range(6)]), 0)
+    second = frame([slot(2, 0), slot(2, 5), slot(9, 0)])
+    for _ in range(2):
+        write(second, 1)
+        got = spark.read.parquet(out)
+        assert sorted((r.batch, r.event_id) for r in got.collect()) == [(0, 10 * h) for h in range(6)] + [(1, 25), (1, 90)]
+    write(frame([slot(2, 5), slot(9, 5)]), 2)
+    assert [r.event_id for r in spark.read.parquet(f"{out}/batch=2").collect()] == [95]
+    hour = spark.sql(f"SELECT unix_timestamp(TIMESTAMP '{BASE}') div 3600").first()[0]
+    done = S.slots_written(spark, manifest, [hour + 2], 2)
+    assert done.count() == 2
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "hour" in plan.split("PartitionFilters:")[1].split("]")[0]
+    write(frame([]), 3)
+    assert spark.read.parquet(f"{out}/batch=3").count() == 0
