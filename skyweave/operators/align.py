@@ -104,9 +104,9 @@ def latest_common(catalog: DataFrame, required: list[str], tolerance_minutes: in
     asked = scans.select(F.col("ts").alias("candidate")).distinct().select("candidate", F.explode(need).alias("source"))
     near = asof_nearest(asked, scans.where(F.col("source").isin(list(required))), tolerance_minutes * 60)
     full = near.groupBy("candidate").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(set(required)))
-    newest = full.agg(F.max("candidate").alias("candidate")).where("candidate is not null")
+    newest = full.select(F.max("candidate")).scalar()  # one instant, null if there is none
     gap = F.abs(F.unix_timestamp("ts") - F.unix_timestamp("candidate"))
-    around = scans.join(F.broadcast(newest), gap <= tolerance_minutes * 60)  # one instant
+    around = scans.withColumn("candidate", newest).where(gap <= tolerance_minutes * 60)
     best = around.groupBy("candidate", "source").agg(F.min(F.struct(gap.alias("gap_seconds"), "ts")).alias("_near"))
     return best.groupBy("candidate").agg(
         F.collect_set("source").alias("sources"), F.map_from_entries(F.collect_list(F.struct("source", "_near.ts"))).alias("scans")
