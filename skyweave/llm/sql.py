@@ -42,7 +42,8 @@ FROM c JOIN o USING (r) JOIN path p ON p.conv = c.conv AND p.seq = c.seq LEFT JO
 
 PREFIX_TRIE = """
 WITH own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
-       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
        FROM conversations WHERE conv_id IS NOT NULL),
 ids AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM own),
 crc AS (SELECT c, xor(4294967295, list_reduce(list_transform(string_split(s, ''), lambda x: CAST(ascii(x) AS BIGINT)),

@@ -17,8 +17,10 @@ def plain_rebuilt(rows):
     own = defaultdict(list)
     for c, turn, role, text in rows:
         if c is not None:
-            own[c].append((turn is not None, turn or 0, role or "", text or ""))
-    own = {c: [t[2:] for t in sorted(v)] for c, v in own.items()}
+            role, text = role or "", text or ""
+            tie = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            own[c].append((turn is not None, turn or 0, tie, role, text))
+    own = {c: [t[3:] for t in sorted(v)] for c, v in own.items()}
     made = {}
     for c, turns in own.items():
         h = crc32(str(c).encode()) % 6
@@ -61,6 +63,7 @@ def talk(seed=3):
         rows += [(c, t, r.choice("ua"), r.choice(["", "x", "yy", "zé😀"])) for t in range(n)]
     rows += [(9000 + c, t, "u", "x" if t < 290 else str(c)) for c in range(3) for t in range(300)]
     rows += [(300, None, None, None), (5, None, "u", None), (None, 1, "u", "lost"), (None, None, None, None)]
+    rows += [(9, 1, role, text) for role in "uab" for text in ("tie", "tied", "tie")]
     return rows
 
 
