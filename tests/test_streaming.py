@@ -163,3 +163,46 @@ def test_a_retried_batch_writes_the_same_and_reads_touched_hours_only(spark, tmp
     assert "hour" in plan.split("PartitionFilters:")[1].split("]")[0]
     write(frame([]), 3)
     assert spark.read.parquet(f"{out}/batch=3").count() == 0
+
+
+def test_ordered_streaks_call_the_store_by_chunks_not_by_attempts():
+    from types import SimpleNamespace as Object
+
+    from skyweave.streaming.ordered import CHUNK, Streaks
+
+    calls, timers = [], set()
+
+    class Kept(dict):
+        def updateValue(self, key, value):
+            calls.append(key)
+            self[key] = value
+
+        def removeKey(self, key):
+            calls.append(key)
+            self.pop(key)
+
+        def update(self, value):
+            calls.append("value")
+            self["value"] = value
+
+        def get(self):
+            return dict.get(self, "value")
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+    handle = Object(
+        getMapState=lambda *_: Kept(), getValueState=lambda *_: Kept(), registerTimer=timers.add, deleteTimer=timers.discard
+    )
+    n = 3 * CHUNK
+    rows = [Object(micros=1_000_000 * (i + 1), event_id=i, ok=i % 50 == 0) for i in range(n)]
+    random.Random(5).shuffle(rows)
+    streaks_ = Streaks()
+    streaks_.init(handle)
+    got = list(streaks_.handleInputRows((1,), iter(rows + rows[:7]), None))
+    assert got == [] and timers == {1001} and len(calls) < 10
+    final = 1000 * (n - CHUNK) + 1  # the newest CHUNK attempts stay open
+    got = list(streaks_.handleExpiredTimer((1,), Object(getCurrentWatermarkInMs=lambda: final), None))
+    assert [(r.event_id, r.streak) for r in got] == [(i, i % 50) for i in range(n - CHUNK)] and len(calls) < 20
+    got = list(streaks_.handleExpiredTimer((1,), Object(getCurrentWatermarkInMs=lambda: 10**9), None))
+    assert [(r.event_id, r.streak) for r in got] == [(i, i % 50) for i in range(n - CHUNK, n)] and len(calls) < 30
