@@ -122,6 +122,27 @@ def test_lm_scores(spark, odd, none, monkeypatch):
     assert lm_scoring.lm_scores(none, labels.where("false")).count() == 0
 
 
+def test_lm_scores_of_many_ngrams_are_exact(spark, monkeypatch):
+    """More n-grams than counters of 20 bits tell apart, in blocks of a few texts, some read over again."""
+    monkeypatch.setattr(lm_scoring, "BLOCK", 4000)
+    r = random.Random(4)
+    texts = ["".join(chr(r.randrange(0x100, 0x2000)) for _ in range(r.randrange(200, 400))) for _ in range(60)]
+    texts += texts[:5]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 65, 2)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x for x in lm_scoring.lm_scores(docs, labels).collect()}
+    data = [bytes(4) + lm_scoring.normal(t) for t in texts]
+    for m, name in enumerate(["target_loss", "background_loss"]):
+        counts = Counter(d[e - k + 1 : e + 1] for i, d in enumerate(data) if m or i % 2 == 0 for e in range(4, len(d)) for k in range(1, 6))
+        counts[b""] = sum(n for g, n in counts.items() if len(g) == 1)
+        for i, d in enumerate(data):
+            loss = 0
+            for e in range(4, len(d)):
+                shares = [min(counts[d[e - k + 1 : e + 1]] / max(counts[d[e - k + 1 : e]], 1), 1) for k in range(1, 6)]
+                loss -= math.log(lm_scoring.WEIGHTS[0] / 256 + sum(w * x for w, x in zip(lm_scoring.WEIGHTS[1:], shares)))
+            assert abs(got[i][name] - loss / (len(d) - 4)) < 2e-6
+
+
 def test_ordinal_grades(spark, odd, none):
     r = random.Random(5)
     rows, labels = [], []
