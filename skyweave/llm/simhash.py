@@ -37,7 +37,7 @@ ROWS = 256
 WEIGHTS = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     words = (text or "").encode().lower().split()
     if not words:
         return 0
@@ -46,7 +46,7 @@ def fingerprint(text: str | None) -> int:
         at += len(w) + 1
         ends.append(at)
     starts = [0, *(e + 1 for e in ends[:-1])]
-    last = ends[SHINGLE - 1 :] or ends[-1:]
+    last = ends[shingle - 1 :] or ends[-1:]
     hashed, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for begin in range(0, len(last), 65536):
         some = [hashed(joined[s:e], SEED) for s, e in zip(starts[begin:], last[begin : begin + 65536])]
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(marks, "doc_id long, fp long")
 
 
-def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
+def with_fingerprint(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` and the column ``name``, its fingerprints as longs."""
     at = docs.columns.index("text")
 
@@ -75,7 +75,7 @@ def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, ROWS):
                 part = batch.slice(begin, ROWS)
-                found = np.array([fingerprint(t) for t in part.column(at).to_pylist()], np.uint64)
+                found = np.array([fingerprint(t, shingle) for t in part.column(at).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], [*part.schema.names, name])
 
     return docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))

@@ -3,11 +3,15 @@
 Words are those of ``simhash`` (A-Z lower-cased); fewer than five words make one shingle, none makes an empty set. Texts of
 equal words share a ``key`` and count once (64 bits tell keys, and 64 bits tell shingles, apart).
 
-The join is exact. Of two sets within 0.8 each holds at least four fifths of the other, so in any common order of all
+First come operator 2's fingerprints, here over five-word shingles, and its self-join of tries, with a wider budget of BUDGET
+bits: texts of one fingerprint and texts that the join links are held against each other on their full sets, which finds
+most copies that are closer than 0.8. Fingerprints of texts at 0.8 differ in ten bits or so, in no fixed number, so an exact
+join finds the links that are left, between the components that the fingerprints gave. Of two sets within 0.8 each holds at least four fifths of the other, so in any common order of all
 shingles their first n // 5 + 1 have one in common. The order puts crowded shingles last, by a sketch of 2 ** BITS counters
 over a share of the texts: it decides what the join costs, not what it finds. Texts that share a first shingle are held
-against the smallest key of its group; groups that are not one component then have all pairs of different components
-checked. Each pair is decided on the full sets, so no text goes that is not within 0.8 of another one. Groups beyond
+against the smallest key of its group, if they are not of one component yet; groups that are not one component then have all pairs of different components
+checked. Each pair is decided on the full sets, so no text goes that is not within 0.8 of another one. To be decided, a pair
+moves one of its texts, and each text is moved once more: texts take less room than the hashes of their shingles. Groups beyond
 CROWD are cut into slices that meet two by two, and so no task holds a whole one.
 
 Blank and null texts are copies of each other. Rows with null ids and repeated rows are as in ``simhash.one_of_each``.
@@ -23,10 +27,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .repeated_bytes import released
 from .shared import SPACE, components, fresh, saved
 
 SHINGLE = 5
+#: Differing bits up to which fingerprints propose a pair.
+BUDGET = 6
 SEED = 42
 BITS = 20
 SLICE = 1 << 14
@@ -105,28 +112,56 @@ def firsts(rows: DataFrame, order: np.ndarray) -> DataFrame:
     return rows.select("key", "text").mapInArrow(first, "key long, n int, first array<long>")
 
 
+def within(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.concatenate((x, y))
+    both.sort()
+    # inter / (x + y - inter) >= 4 / 5
+    return 9 * int((both[1:] == both[:-1]).sum()) >= 4 * len(both)
+
+
 def linked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of keys whose full sets are within 0.8. ``rows``: key, text."""
+    """The ``pairs`` (a, b) of keys whose full sets are within 0.8, as a table. ``rows``: key, text."""
+    spark = rows.sparkSession
+    pairs = saved(pairs.select("a", "b").distinct())
     wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     slots = np.zeros(SLOTS, bool)
     slots[wanted.select(F.pmod("key", F.lit(SLOTS)).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
-    sent = rows.sparkSession.sparkContext.broadcast(np.packbits(slots))
+    sent = spark.sparkContext.broadcast(np.packbits(slots))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.unpackbits(sent.value).astype(bool)
         for batch in batches:
-            hit = batch.filter(pa.array(slots[batch.column(0).to_numpy() % SLOTS]))
-            for at in range(0, hit.num_rows, ROWS):
-                part = hit.slice(at, ROWS)
-                found = [shingles(t).view(np.int64) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["key", "grams"])
-
-    held = rows.select("key", "text").mapInArrow(sets, "key long, grams array<long>")
-    held = saved(held.join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("grams").alias("grams")))
-    met = pairs.join(held.select(F.col("key").alias("a"), F.col("grams").alias("x")), "a")
-    met = met.join(held.select(F.col("key").alias("b"), F.col("grams").alias("y")), "b")
-    # inter / (x + y - inter) >= 4 / 5
-    return met.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
+            yield batch.filter(pa.array(slots[batch.column(0).to_numpy() % SLOTS]))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, x = None, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part, keep = batch.slice(at, ROWS), []
+                for a, mine, theirs in zip(part.column(0).to_pylist(), part.column(2), part.column(3)):
+                    if a != now:  # pairs come in the order of their first keys
+                        now, x = a, shingles(mine.as_py())
+                    keep.append(within(x, shingles(theirs.as_py())))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    held = rows.select("key", "text").mapInArrow(hit, "key long, text string").join(wanted, "key", "left_semi")
+    held = saved(held.groupBy("key").agg(F.any_value(F.coalesce("text", F.lit(""))).alias("text")))
+    met = pairs.join(held.select(F.col("key").alias("b"), F.col("text").alias("theirs")), "b")
+    met = met.join(held.select(F.col("key").alias("a"), F.col("text").alias("mine")), "a").select("a", "b", "mine", "theirs")
+    found = saved(met.mapInArrow(decide, "a long, b long"))
+    released(spark)
+    return found
+
+
+def near_fingerprints(rows: DataFrame) -> DataFrame:
+    """(a, b): keys within 0.8 whose fingerprints are equal or joined within BUDGET bits. ``rows``: key, text."""
+    marked = saved(simhash.with_fingerprint(rows.select("key", "text"), "fp", SHINGLE).select("key", "fp").distinct())
+    first = saved(marked.groupBy("fp").agg(F.min("key").alias("low")))
+    joined = simhash.links(first.select("fp"), BUDGET).distinct()
+    low = lambda side: first.select(F.col("fp").alias(side), F.col("low").alias(f"low_{side}"))
+    pairs = joined.join(low("a"), "a").join(low("b"), "b").select(F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    alike = marked.join(first, "fp").where("low < key").select(F.col("low").alias("a"), F.col("key").alias("b"))
+    return linked(pairs.union(alike), rows)
 
 
 def fits(a: Column, b: Column) -> Column:
@@ -145,7 +180,12 @@ def groups(rows: DataFrame) -> DataFrame:
     released(spark)
     star = members.where((F.col("key") != F.col("low.key")) & fits(F.col("n"), F.col("low.n")))
     star = saved(star.select(F.col("low.key").alias("a"), F.col("key").alias("b")).distinct())
-    near = saved(linked(star, rows))
+    near = near_fingerprints(rows)
+    known = saved(components(near))
+    root = lambda side: known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    apart = star.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    apart = apart.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    near = saved(near.union(linked(apart, rows)))
     reached = saved(components(near))
     named = members.join(reached, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
     open_ = named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2")
@@ -162,7 +202,7 @@ def groups(rows: DataFrame) -> DataFrame:
     other = rest.select("h", "slice", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"))
     pairs = rest.join(other, ["h", "slice"]).where((F.col("key") < F.col("b")) & (F.col("root") != F.col("root2")) & fits(F.col("n"), F.col("n2")))
     pairs = pairs.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
-    return components(near.union(linked(saved(pairs), rows)))
+    return components(near.union(linked(pairs, rows)))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

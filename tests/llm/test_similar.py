@@ -59,3 +59,33 @@ def test_odd_rows(odd, none):
     assert kept.columns == odd.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 3, 4, 7, 8, 9]
     assert similar.one_of_each(none).count() == 0
+
+
+def test_fingerprints_propose_and_the_exact_join_finds_the_rest(spark, data, monkeypatch):
+    """The stage runs the fingerprint join, takes its links on full sets alone, and decides no pair of them again."""
+    rows = [(100 * s + k, changed(prose(s, 300), k, k)) for s in range(6) for k in range(4)]
+    rows += [(1000 + k, prose(50, 60) + " " + prose(300 + k, 9)) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, calls, decide = [], [], similar.linked
+
+    def joined(distinct, budget):
+        calls.append(budget)
+        return simhash_links(distinct, budget)
+
+    def spied(pairs, rows):
+        pairs = similar.saved(pairs)
+        seen.append({(r.a, r.b) for r in pairs.collect()})
+        found = decide(pairs, rows)
+        seen.append({(r.a, r.b) for r in found.collect()})
+        return found
+
+    simhash_links = simhash.links
+    monkeypatch.setattr(simhash, "links", joined)
+    monkeypatch.setattr(similar, "linked", spied)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, data).collect()}
+    assert kept == slow_kept(rows) and calls == [similar.BUDGET]
+    proposed, sure, left, found, _, _ = seen
+    assert sure and sure <= proposed and found and not found & sure and not left & sure
+    key = {r.key: r.text for r in docs.select(similar.key_of(docs.text).alias("key"), "text").collect()}
+    near = lambda a, b: 5 * len(slow_sets(key[a]) & slow_sets(key[b])) >= 4 * len(slow_sets(key[a]) | slow_sets(key[b]))
+    assert all(near(*p) == (p in sure) for p in proposed) and all(near(*p) == (p in found) for p in left)
