@@ -9,10 +9,14 @@ most copies that are closer than 0.8. Fingerprints of texts at 0.8 differ in ten
 join finds the links that are left, between the components that the fingerprints gave. Of two sets within 0.8 each holds at least four fifths of the other, so in any common order of all
 shingles their first n // 5 + 1 have one in common. The order puts crowded shingles last, by a sketch of 2 ** BITS counters
 over a share of the texts: it decides what the join costs, not what it finds. Texts that share a first shingle are held
-against the smallest key of its group, if they are not of one component yet; groups that are not one component then have all pairs of different components
-checked. Each pair is decided on the full sets, so no text goes that is not within 0.8 of another one. To be decided, a pair
-moves one of its texts, and each text is moved once more: texts take less room than the hashes of their shingles. Groups beyond
-CROWD are cut into slices that meet two by two, and so no task holds a whole one.
+against the smallest key of its group, if they are not of one component yet. Groups that are not one component then meet as
+sketches, one group of those of the same members: a sketch is the parity of the shingles in each of 2 to 4 bits a shingle, and
+the bits in which two sketches differ are never more than the shingles in which the sets differ. Pairs of different components
+go on only if their sketches leave 0.8 open, and each of them is decided on the full sets, so no text goes that is not within
+0.8 of another one. To be decided, a pair moves one of its texts, and each text is moved once more: texts take less room than
+the hashes of their shingles. Sketches of a group are still held against each other one by one, a few words of 64 bits each.
+Groups beyond CROWD are cut into slices that meet two by two, and so no task holds a whole one; slices grow from SLICES on, up to
+LARGE rows, so that a row is not sent to ever more of them.
 
 Blank and null texts are copies of each other. Rows with null ids and repeated rows are as in ``simhash.one_of_each``.
 """
@@ -38,7 +42,7 @@ SEED = 42
 BITS = 20
 SLICE = 1 << 14
 SHARE = 8
-CROWD = 1000
+CROWD, LARGE, SLICES = 256, 8192, 8
 ROWS = 256
 #: Slots of the filter through which texts with candidates are read again.
 SLOTS = 1 << 22
@@ -94,22 +98,77 @@ def crowding(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def width(n: int) -> int:
+    """Words of the sketch of ``n`` shingles, a power of two: 2 to 4 bits a shingle, 64 at least."""
+    return max(1, 1 << (2 * max(n, 1) - 1).bit_length() >> 6)
+
+
+def sketch(shingled: np.ndarray) -> np.ndarray:
+    """The parity of the shingles that fall on each bit. Halves of a sketch put together by XOR are the sketch half as wide."""
+    bits = 64 * width(len(shingled))
+    return np.packbits(np.bincount((shingled & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").view(np.uint64)
+
+
+def open_pairs(n: np.ndarray, root: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of different roots whose sketches do not rule out 0.8. Sets within 0.8 differ in a ninth of both sizes."""
+    order = np.argsort(n, kind="stable")
+    n, root, sketches = n[order].astype(np.int64), root[order], [np.frombuffer(sketches[i], np.uint64) for i in order]
+    wide = np.array([len(x) for x in sketches])
+    left, right = [], []
+    for w in np.unique(wide).tolist():
+        # sizes ascend, and sets within 0.8 have sketches of one width or of this and the next one
+        lo, mid, hi = np.searchsorted(wide, [w, w + 1, 2 * w + 1])
+        flat = np.array([x if len(x) == w else x[:w] ^ x[w:] for x in sketches[lo:hi]])
+        ends = np.searchsorted(n[lo:hi], 5 * n[lo:mid] // 4, "right").tolist()
+        for i, end in enumerate(ends):
+            apart = np.bitwise_count(flat[i + 1 : end] ^ flat[i]).sum(1, dtype=np.int64)
+            at = lo + i + 1 + np.flatnonzero((9 * apart <= n[lo + i] + n[lo + i + 1 : lo + end]) & (root[lo + i + 1 : lo + end] != root[lo + i]))
+            left.append(np.full(len(at), lo + i))
+            right.append(at)
+    return order[np.concatenate(left)], order[np.concatenate(right)]
+
+
+def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (h, slice, key, n, root, sketch) in the order of h and slice to the open pairs (a, b) of each meeting."""
+
+    def found(table: pa.Table) -> pa.RecordBatch:
+        key = table["key"].to_numpy()
+        i, j = open_pairs(table["n"].to_numpy(), table["root"].to_numpy(), table["sketch"].to_pylist())
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], ["a", "b"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        h, part = table["h"].to_numpy(), table["slice"].to_numpy()
+        begin = [0, *(np.flatnonzero((h[1:] != h[:-1]) | (part[1:] != part[:-1])) + 1).tolist()]
+        for at, to in zip(begin, begin[1:]):
+            yield found(table.slice(at, to - at))
+        held = table.slice(begin[-1])
+    if held is not None:
+        yield found(held)
+
+
 def firsts(rows: DataFrame, order: np.ndarray) -> DataFrame:
-    """(key, n, first): the number of a text's shingles, and its first n // 5 + 1. ``rows``: key, text."""
+    """(key, n, first, sketch): the number of a text's shingles, its first n // 5 + 1, and their sketch. ``rows``: key, text."""
     sent = rows.sparkSession.sparkContext.broadcast(order)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                part, n, some = batch.slice(at, ROWS), [], []
+                part, n, some, drawn = batch.slice(at, ROWS), [], [], []
                 for t in part.column(1).to_pylist():
                     all_ = shingles(t)
                     by = np.lexsort((all_, sent.value[all_ >> np.uint64(64 - BITS)]))
                     n.append(len(all_))
                     some.append(all_[by[: len(all_) // 5 + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int32()), pa.array(some, pa.list_(pa.int64()))], ["key", "n", "first"])
+                    drawn.append(sketch(all_).tobytes())
+                columns = [part.column(0), pa.array(n, pa.int32()), pa.array(some, pa.list_(pa.int64())), pa.array(drawn, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "first", "sketch"])
 
-    return rows.select("key", "text").mapInArrow(first, "key long, n int, first array<long>")
+    return rows.select("key", "text").mapInArrow(first, "key long, n int, first array<long>, sketch binary")
 
 
 def within(x: np.ndarray, y: np.ndarray) -> bool:
@@ -172,7 +231,8 @@ def groups(rows: DataFrame) -> DataFrame:
     """(node, root): the components of linked keys; keys without links are absent. ``rows``: key, text."""
     spark = rows.sparkSession
     order = crowding(rows.where(F.pmod("key", F.lit(SHARE)) == 0))
-    placed = saved(firsts(rows, order)).select(F.explode("first").alias("h"), "key", "n")
+    drawn = saved(firsts(rows, order))
+    placed = drawn.select(F.explode("first").alias("h"), "key", "n")
     shared = placed.groupBy("h").agg(F.min(F.struct("key", "n")).alias("low"), F.max("key").alias("high")).where("low.key < high")
     shared = saved(shared.select("h", "low"))
     released(spark)
@@ -188,8 +248,11 @@ def groups(rows: DataFrame) -> DataFrame:
     near = saved(near.union(linked(apart, rows)))
     reached = saved(components(near))
     named = members.join(reached, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
-    open_ = named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2")
-    rest = named.join(open_.select("h", F.ceil(F.col("m") / CROWD).cast("int").alias("slices")), "h")
+    who = (F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"who_{i}") for i in range(2))
+    open_ = named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"), *who).where("lo < hi and m > 2")
+    open_ = open_.groupBy("m", "who_0", "who_1").agg(F.min("h").alias("h"))  # the same members meet once
+    slices = F.greatest(F.least(F.ceil(F.col("m") / CROWD), F.lit(SLICES)), F.ceil(F.col("m") / LARGE)).cast("int")
+    rest = named.join(open_.select("h", slices.alias("slices")), "h")
     mine = F.pmod(F.xxhash64("key"), F.col("slices")).cast("int")
     meets = F.when(F.col("slices") == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(
@@ -197,11 +260,11 @@ def groups(rows: DataFrame) -> DataFrame:
             lambda s: F.least(s, mine) * F.lit(1 << 20).cast("long") + F.greatest(s, mine),
         )
     )
-    rest = rest.select("h", F.explode(meets).alias("slice"), "key", "n", "root")
-    rest = saved(rest)
-    other = rest.select("h", "slice", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-    pairs = rest.join(other, ["h", "slice"]).where((F.col("key") < F.col("b")) & (F.col("root") != F.col("root2")) & fits(F.col("n"), F.col("n2")))
-    pairs = pairs.select(F.col("key").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti")
+    rest = rest.select("h", meets.alias("slice"), "key", "n", "root").join(drawn.select("key", "sketch").distinct(), "key")
+    rest = rest.select("h", F.explode("slice").alias("slice"), "key", "n", "root", "sketch")
+    pairs = rest.repartition("h", "slice").sortWithinPartitions("h", "slice").mapInArrow(meetings, "a long, b long")
+    pairs = saved(pairs.distinct().join(star, ["a", "b"], "left_anti"))
+    released(spark)
     return components(near.union(linked(pairs, rows)))
 
 

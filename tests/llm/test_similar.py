@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -89,3 +90,36 @@ def test_fingerprints_propose_and_the_exact_join_finds_the_rest(spark, data, mon
     key = {r.key: r.text for r in docs.select(similar.key_of(docs.text).alias("key"), "text").collect()}
     near = lambda a, b: 5 * len(slow_sets(key[a]) & slow_sets(key[b])) >= 4 * len(slow_sets(key[a]) | slow_sets(key[b]))
     assert all(near(*p) == (p in sure) for p in proposed) and all(near(*p) == (p in found) for p in left)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 2, 5, 30, 31, 33, 40, 300, 330, 2000)]
+    sets += [np.unique(np.concatenate((s[: len(s) - len(s) // k], r.integers(0, 1 << 63, len(s) // (2 * k)).astype(np.uint64)))) for s in sets for k in (5, 8, 12)]
+    drawn = [similar.sketch(s) for s in sets]
+    assert all(len(d) == similar.width(len(s)) and 64 * len(d) >= 2 * len(s) for d, s in zip(drawn, sets))
+    n = np.array([len(s) for s in sets])
+    i, j = similar.open_pairs(n, np.arange(len(sets)), [d.tobytes() for d in drawn])
+    got = {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())}
+    every = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    near = {p for p in every if similar.within(sets[p[0]], sets[p[1]])}
+    assert near <= got and len(near) > 20 and len(got) < len(every) // 3
+    same_root = similar.open_pairs(n, np.zeros(len(sets)), [d.tobytes() for d in drawn])
+    assert not len(same_root[0])
+
+
+def test_pairs_of_one_group_are_not_all_decided(spark, monkeypatch):
+    """Copies of a text that are further than 0.8 from each other share first shingles; hardly a pair of them moves texts."""
+    base = prose(7, 200)
+    rows = [(k, changed(base, 12, k)) for k in range(50)] + [(50, changed(base, 1, 90)), (51, changed(base, 1, 91))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, decide = [], similar.linked
+
+    def counted(pairs, rows):
+        seen.append((pairs := similar.saved(pairs)).count())
+        return decide(pairs, rows)
+
+    monkeypatch.setattr(similar, "linked", counted)
+    kept = {r.doc_id for r in similar.one_of_each(docs).collect()}
+    assert kept == slow_kept(rows) and len(kept) > 40
+    assert len(seen) == 3 and seen[2] < 100  # all pairs: 1,326
