@@ -5,8 +5,10 @@ least LEAST of its documents (rows). Over its kept terms each group (lang, sourc
 ``p = 1 + floor(SCALE * (count + 1) / (N + V))``, N its occurrences of kept terms and V their number. A group differs from another
 by the sum of ``floor((p - q)^2 / q)`` over all kept terms of the language, and from its language at a term likewise.
 
-Counting: a block of texts becomes one row per (group, term) in Arrow and numpy, rows combine in the task and then in one
-shuffle, whatever term or source is hot. Terms get ids inside their language, the most frequent first (``numbered``).
+Counting: a block of texts becomes one count per (group, term) in Arrow and numpy, sent in one shuffle as one row for each
+language and part of its terms, whatever term or source is hot; parts are cut by a hash and grow in number with the documents,
+and a task puts one of them together at a time. A kept term is one row with its groups' counts. Terms get ids inside their
+language, the most frequent first (``numbered``).
 
 Pricing: ids are cut into blocks of LEAVES, and a row holds a block's counts of all groups of the language. In a block each
 group is a segment tree whose leaves are counts. Nodes are interned by (left, right), so that equal subtrees are one node
@@ -39,6 +41,9 @@ from .shared import documents, saved
 SCALE, LEAST, TOP = 1_000_000_000, 3, 200
 #: Terms of a block (a power of two), bytes of text counted at a time, pairs and nodes a task remembers.
 LEAVES, BLOCK, MEMO = 1024, 1 << 22, 300_000
+#: Parts of a language's terms, so many for each DOCUMENTS of the table.
+PARTS, DOCUMENTS = 512, 1 << 23
+MIX = np.random.default_rng(11).integers(1, 1 << 63, 1024).astype(np.uint64) | np.uint64(1)
 #: Bytes of terms, A-Z in lower case; all others are blanks.
 LETTER = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
 
@@ -77,15 +82,103 @@ def block_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*where.flatten(), terms.take(pa.array(met % width)), pa.array(n.astype(np.int64)), pa.array(docs.astype(np.int64))], ["lang", "source", "term", "n", "docs"])
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of every term in every group."""
+def parts_of(terms: pa.StringArray, parts: int) -> np.ndarray:
+    """The part, below ``parts``, of each term; terms are not empty."""
+    offsets = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset : terms.offset + len(terms) + 1].astype(np.int64)
+    plain = np.frombuffer(terms.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    at = np.arange(len(plain)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
+    mixed = np.add.reduceat((plain.astype(np.uint64) + np.uint64(1)) * MIX[at % len(MIX)], offsets[:-1] - offsets[0])
+    return ((mixed >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
+
+
+def packed(counts: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """``block_counts`` as one row for each language and part: its terms joined by blanks, counts, and runs of sources."""
+    langs = counts.column(0).dictionary_encode()
+    where = langs.indices.to_numpy().astype(np.int64) * parts + parts_of(counts.column(2), parts)
+    order = np.argsort(where, kind="stable")  # sources stay together inside a part
+    where, source = where[order], counts.column(1).dictionary_encode()
+    named = source.indices.to_numpy()[order]
+    begin = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+    runs = np.flatnonzero(np.append(True, (where[1:] != where[:-1]) | (named[1:] != named[:-1])))
+    ends = pa.array(np.append(begin, len(where)), pa.int32())
+    run_ends = pa.array(np.append(np.searchsorted(runs, begin), len(runs)), pa.int32())
+    listed = lambda at, values: pa.ListArray.from_arrays(at, values)
+    columns = [
+        langs.dictionary.take(pa.array(where[begin] // parts)),
+        pa.array(where[begin] % parts, pa.int32()),
+        listed(run_ends, source.dictionary.take(pa.array(named[runs]))),
+        listed(run_ends, pa.array(np.diff(np.append(runs, len(where))), pa.int32())),
+        pc.binary_join(listed(ends, counts.column(2).take(pa.array(order))), " "),
+        *(listed(ends, counts.column(i).take(pa.array(order))) for i in (3, 4)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "part", "sources", "sizes", "terms", "n", "docs"])
+
+
+def unpacked(table: pa.Table) -> pa.RecordBatch:
+    """All rows of one language and part to its kept terms: (lang, term, n_lang, of), ``of`` the counts by source."""
+    table = table.combine_chunks()
+    flat = lambda name: table[name].combine_chunks().flatten()
+    sources = flat("sources").dictionary_encode()
+    names, width = sources.dictionary, len(sources.dictionary)
+    source = np.repeat(sources.indices.to_numpy().astype(np.int64), flat("sizes").to_numpy())
+    words = pc.split_pattern(table["terms"].combine_chunks(), " ").flatten().dictionary_encode()
+    code = words.indices.to_numpy().astype(np.int64) * width + source
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    n, docs = (np.add.reduceat(flat(name).to_numpy()[order], begin) for name in ("n", "docs"))
+    term, source = np.divmod(code[begin], width)
+    first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+    kept = np.add.reduceat(docs, first) >= LEAST
+    size, n_lang = np.diff(np.append(first, len(term))), np.add.reduceat(n, first)[kept]
+    rows = np.repeat(kept, size)
+    of = pa.StructArray.from_arrays([names.take(pa.array(source[rows])), pa.array(n[rows])], ["source", "n"])
+    of = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[kept])), pa.int32()), of)
+    lang = pa.repeat(table["lang"][0], len(n_lang))
+    return pa.RecordBatch.from_arrays([lang, words.dictionary.take(pa.array(term[first][kept])), pa.array(n_lang), of], ["lang", "term", "n_lang", "of"])
+
+
+def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``packed`` in the order of language and part to the kept terms of each."""
+
+    def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = unpacked(table)
+        for at in range(0, found.num_rows, 8192):
+            yield found.slice(at, 8192)
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        lang, part = table["lang"].combine_chunks().dictionary_encode().indices.to_numpy(), table["part"].to_numpy()
+        begin = [0, *(np.flatnonzero((lang[1:] != lang[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(part)]
+        for at, to in zip(begin, begin[1:]):
+            piece = table.slice(at, to - at)
+            if held is not None and (held["lang"][0], held["part"][0]) == (piece["lang"][0], piece["part"][0]):
+                held = pa.concat_tables([held, piece])
+            else:
+                if held is not None:
+                    yield from out(held)
+                held = piece
+    if held is not None:
+        yield from out(held)
+
+
+def kept_terms(docs: DataFrame) -> DataFrame:
+    """(lang, term, n_lang, of): the terms of at least LEAST documents of their language, with their counts by source."""
+    parts = PARTS * (1 + docs.count() // DOCUMENTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from map(block_counts, blocks(batch))
+            for block in blocks(batch):
+                counts = block_counts(block)
+                if counts.num_rows:
+                    yield packed(counts, parts)
 
-    parts = docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    schema = "lang string, part int, sources array<string>, sizes array<int>, terms string, n array<long>, docs array<long>"
+    rows = docs.select("lang", "source", "text").mapInArrow(count, schema).repartition("lang", "part").sortWithinPartitions("lang", "part")
+    return rows.mapInArrow(put_together, "lang string, term string, n_lang long, of array<struct<source:string,n:bigint>>")
 
 
 class Forest:
@@ -180,12 +273,10 @@ def share(count: str, weight: str) -> str:
 def source_divergence(docs: DataFrame, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): see above. Part ``pair`` holds all other sources, ``term`` the first ``top``."""
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = saved(term_counts(docs))
-    terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs")).where(F.col("docs") >= LEAST)
-    terms = numbered(terms.drop("docs"), "lang", [F.desc("n_lang"), F.col("term")], "id")
-    kept = saved(counts.drop("docs").join(terms, ["lang", "term"]))
+    terms = saved(numbered(saved(kept_terms(docs)), "lang", [F.desc("n_lang"), F.col("term")], "id"))
+    kept = terms.select("lang", "term", "n_lang", "id", F.inline("of"))
 
-    whole = kept.groupBy("lang").agg(F.max("id").alias("v"))
+    whole = terms.groupBy("lang").agg(F.max("id").alias("v"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"))
     seen = docs.groupBy("lang", "source").agg(F.count("*").alias("rows")).join(totals, ["lang", "source"], "left").join(whole, "lang", "left")
     seen = seen.fillna(0, ["own", "v"])

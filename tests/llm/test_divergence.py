@@ -111,3 +111,26 @@ def test_twin_and_plain_version(spark):
     with duckdb.connect() as con:
         con.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
         assert sorted(con.sql(f"SELECT {', '.join(COLUMNS)} FROM ({sql.SOURCE_DIVERGENCE})").fetchall()) == want
+
+
+def test_counts_travel_in_parts():
+    """A block is one row for each language and part, and parts from any blocks make the terms of three documents or more."""
+    rows = [(a or "", b or "", c or "") for a, b, c in texts(6, 400)]
+    made = []
+    for at in range(0, len(rows), 60):
+        batch = pa.RecordBatch.from_pylist([dict(zip(("lang", "source", "text"), r)) for r in rows[at : at + 60]])
+        made.append(divergence.packed(divergence.block_counts(batch), 7))
+        assert made[-1].num_rows <= 7 * len({r[0] for r in rows})
+    table = pa.Table.from_batches(made).sort_by([("lang", "ascending"), ("part", "ascending")])
+    got = {}
+    for batch in divergence.put_together(iter(table.to_batches(max_chunksize=5))):
+        for r in batch.to_pylist():
+            assert (r["lang"], r["term"]) not in got and r["n_lang"] == sum(x["n"] for x in r["of"])
+            got[r["lang"], r["term"]] = {x["source"]: x["n"] for x in r["of"]}
+    docs, want = Counter(), defaultdict(Counter)
+    for lang, source, text in rows:
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", "".join(x.lower() if x.isascii() else x for x in text))
+        docs.update((lang, t) for t in set(terms))
+        for t in terms:
+            want[lang, t][source] += 1
+    assert got == {k: dict(v) for k, v in want.items() if docs[k] >= 3} and len(got) > 100
