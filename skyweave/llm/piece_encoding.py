@@ -11,7 +11,8 @@ at its beginning to each state at its end; matrices are multiplied in the (max,
 BLOCK chunks, then those of the blocks, which gives the states at the blocks' ends and then at all cuts, and with them
 each chunk is traced back on its own. Chunks, blocks and texts are rows: no task holds more than a block's matrices.
 Shorter texts are one chunk each, from state 0 to state 0. Within a chunk no piece crosses into a mark (checked when the
-model is read), so words are segmented one by one and those met first are kept in a bounded cache.
+model is read), so words are segmented one by one. Those that come again are kept in a bounded cache; most words come
+once only and are not kept, since a worker holds its cache for as long as it waits for tasks, whatever job runs meanwhile.
 
 ``encode`` returns the identifiers, ``decode`` the text they stand for. Null and empty texts have no pieces; a null
 decodes to null from a null list only. Texts with the mark itself come back with spaces, as the model defines it.
@@ -20,6 +21,7 @@ Repeated rows are encoded one by one (long texts that are equal, once); extra co
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import reduce
 from operator import add
@@ -36,7 +38,8 @@ from .shared import documents, fresh, saved, small_batches
 MARK = "▁"
 CHUNK = 32_768
 BLOCK = 256
-CACHE = 500_000
+CACHE = 200_000
+SEEN = 1 << 22
 ROWS = 128
 UNKNOWN = 10
 LOW = -(1 << 60)
@@ -68,6 +71,7 @@ class Vocabulary:
         self.unknown = min(self.score.values()) - UNKNOWN
         self.words: dict[str, bytes] = {}  # identifiers as 32-bit numbers
         self.sums: dict[str, int] = {}
+        self.seen = bytearray(SEEN)  # at the hash of each word met
         # each beginning of a piece: its score if it is one itself, else LOW
         self.grow: dict[str, int] = {}
         for p, score in self.score.items():
@@ -114,9 +118,17 @@ class Vocabulary:
 
     def parts(self, word: str) -> list[str]:
         """A word cut where no piece holds the two characters around."""
+        if self.beside.issuperset(map(add, word, word[1:])):
+            return [word]
         cuts = [0, *(i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in self.beside), len(word)]
         return [word[i:j] for i, j in zip(cuts, cuts[1:])]
 
+    def again(self, word: str) -> bool:
+        """Whether a word of this hash was met before."""
+        at = hash(word) % SEEN
+        before, self.seen[at] = self.seen[at], 1
+        return bool(before)
+
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
@@ -124,8 +136,9 @@ class Vocabulary:
             if len(parts) > 1:
                 found = b"".join(map(self.word, parts))
             else:
-                found = np.array(self.ids(word, self.best(word, 0, len(word))[1], len(word)), "<i4").tobytes()
-            if len(self.words) < CACHE and len(word) <= 64:
+                ids = self.ids(word, self.best(word, 0, len(word))[1], len(word))
+                found = struct.pack(f"<{len(ids)}i", *ids)
+            if len(self.words) < CACHE and len(word) <= 64 and self.again(word):
                 self.words[word] = found
         return found
 
@@ -133,13 +146,14 @@ class Vocabulary:
         found = self.sums.get(word)
         if found is None:
             found = sum(self.best(part, 0, len(part))[0][-1] for part in self.parts(word))
-            if len(self.sums) < CACHE and len(word) <= 64:
+            if len(self.sums) < CACHE and len(word) <= 64 and self.again(word):
                 self.sums[word] = found
         return found
 
     def run(self, text: str) -> list[int]:
         """Identifiers of a stretch that begins at a mark (or a text's beginning) and ends before one."""
-        return np.frombuffer(b"".join(map(self.word, words_of(text))), "<i4").tolist()
+        known, word = self.words.get, self.word
+        return np.frombuffer(b"".join([known(w) or word(w) for w in words_of(text)]), "<i4").tolist()
 
     def bounds(self, text: str, size: int) -> tuple[int, int]:
         """The first place from which, and the last place up to which, whole words lie inside a chunk of ``size``

@@ -166,6 +166,16 @@ def test_ordinal_grades(spark, odd, none):
     assert ordinal_quality.trained(none, table) is None and ordinal_quality.scored(none, None).count() == 0
 
 
+def test_piece_cache_holds_words_that_come_again():
+    table = piece_encoding.Vocabulary(MODEL)
+    once = [f"w{i}" for i in range(5000)]
+    text = " ".join(once)
+    want = sentencepiece.SentencePieceProcessor(model_file=MODEL).decode(table.encode(text))
+    assert want == text and len(table.words) < 100  # a cache of all words keeps a worker large while other jobs run
+    first = table.encode(text)
+    assert len(table.words) >= 5000 and table.encode(text) == first and table.decode(first) == text
+
+
 def slow_statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
